@@ -1,0 +1,2 @@
+"""Intentionally empty: every input of the covered workloads is a finite table,
+so there is no streaming operator to provide."""
