@@ -13,10 +13,10 @@ from pyspark.ml.base import Estimator
 from pyspark.ml.feature import ElementwiseProduct, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.util import inheritable_thread_target
 
-from tidemark.functions.sizing import ensure_checkpoint_dir
+from tidemark.functions.sizing import durable, ensure_checkpoint_dir, fits_one_task
 from tidemark.operators.monitoring import classification_metrics, regression_metrics, roc_auc
 
 # Seed, tree counts and depths, rounds, iterations, penalties, hidden layers.
@@ -29,6 +29,7 @@ LOGISTIC_ITERATIONS = 500
 NETWORK_ITERATIONS, HIDDEN_LAYERS = 300, (128, 64)
 RIDGE_ALPHA = 1.0
 FOLDS = 5
+PARALLEL_FITS = 8
 
 
 @dataclass(frozen=True)
@@ -161,6 +162,8 @@ def fit(
         stages += scaling_stages(facts.rows, facts.features, first, "features")
     stages.append(model.build(facts))
     data = train.select(*features, F.col(label).cast("double").alias("label"))
+    if fits_one_task(data):  # a small table may sit in one file split
+        data = data.repartition(train.sparkSession.sparkContext.defaultParallelism)
     return Pipeline(stages=stages).fit(data)
 
 
@@ -195,9 +198,11 @@ def importances(fitted: PipelineModel, df: DataFrame) -> DataFrame:
     )
 
 
-def _run_all(tasks: Sequence[Callable], parallelism: int) -> list:
-    with ThreadPool(max(1, min(parallelism, len(tasks)))) as pool:
-        return pool.map(lambda task: inheritable_thread_target(task)(), tasks)
+def _run_all(spark: SparkSession, tasks: Sequence[Callable], parallelism: int) -> list:
+    """Run driver-side tasks concurrently; each submits its own Spark jobs."""
+    bound = [inheritable_thread_target(spark)(task) for task in tasks]
+    with ThreadPool(max(1, min(parallelism, len(bound)))) as pool:
+        return pool.map(lambda task: task(), bound)
 
 
 def fit_folds(
@@ -206,7 +211,7 @@ def fit_folds(
     features: Sequence[str],
     label: str,
     folds: int = FOLDS,
-    parallelism: int = 4,
+    parallelism: int = PARALLEL_FITS,
 ) -> dict[tuple[str, int], PipelineModel]:
     """Fit every model once per fold, on all rows outside the fold."""
     keys = [(name, k) for name in models for k in range(folds)]
@@ -214,7 +219,7 @@ def fit_folds(
     def task(name: str, k: int) -> Callable:
         return lambda: fit(folded.where(F.col("fold") != k), models[name], features, label)
 
-    return dict(zip(keys, _run_all([task(*key) for key in keys], parallelism)))
+    return dict(zip(keys, _run_all(folded.sparkSession, [task(*key) for key in keys], parallelism)))
 
 
 def score_folds(
@@ -237,7 +242,15 @@ def _score_test(fitted: dict[str, PipelineModel], test: DataFrame, score: Callab
 
 def _fit_all(train, models, features, label, parallelism) -> dict[str, PipelineModel]:
     tasks = [lambda m=m: fit(train, m, features, label) for m in models.values()]
-    return dict(zip(models, _run_all(tasks, parallelism)))
+    return dict(zip(models, _run_all(train.sparkSession, tasks, parallelism)))
+
+
+def _stored(
+    train: DataFrame, test: DataFrame, features: Sequence[str], label: str
+) -> tuple[DataFrame, DataFrame]:
+    """Both tables stored with the columns the models use: every fit and fold reads them again."""
+    used = [*features, label]
+    return durable(train.select(*used, "fold")), durable(test.select(*used))
 
 
 def cross_validated_regression(scored: DataFrame) -> DataFrame:
@@ -256,7 +269,7 @@ def regression_leaderboard(
     models: dict[str, Model],
     features: Sequence[str],
     label: str,
-    parallelism: int = 4,
+    parallelism: int = PARALLEL_FITS,
 ) -> DataFrame:
     """Test and cross-validation metrics per model, best R² first.
 
@@ -266,6 +279,7 @@ def regression_leaderboard(
     def score(m: PipelineModel, df: DataFrame) -> DataFrame:
         return predict(m, df).withColumn("actual", F.col(label).cast("double"))
 
+    train, test = _stored(train, test, features, label)
     whole = _fit_all(train, models, features, label, parallelism)
     folds = fit_folds(train, models, features, label, parallelism=parallelism)
     held_out = regression_metrics(_score_test(whole, test, score), ["model"]).drop("n")
@@ -279,12 +293,13 @@ def classification_leaderboard(
     models: dict[str, Model],
     features: Sequence[str],
     label: str,
-    parallelism: int = 4,
+    parallelism: int = PARALLEL_FITS,
 ) -> DataFrame:
     """Test metrics and cross-validated AUC per model, best AUC first."""
     def score(m: PipelineModel, df: DataFrame) -> DataFrame:
         return classify(m, df)
 
+    train, test = _stored(train, test, features, label)
     whole = _fit_all(train, models, features, label, parallelism)
     folds = fit_folds(train, models, features, label, parallelism=parallelism)
     scored = _score_test(whole, test, score)

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.functions import scalars as X
+from tidemark.plans.maintenance import with_targets
 from tidemark.sources.tables import read_parquet
 
 
@@ -277,25 +278,32 @@ def machines(spark: SparkSession, sf: str) -> DataFrame:
 MACHINE_KEY = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
 
 
-def labelled_machines(spark: SparkSession, sf: str) -> DataFrame:
-    """Machine readings with every feature, the risk score, remaining days and failure."""
-    from tidemark.plans.maintenance import with_targets
-
-    m = machines(spark, sf)
-    order = F.col("l_orderkey")
+def _with_derived(readings: DataFrame, number: Column) -> DataFrame:
+    """The remaining sensors, the risk score, the remaining days and the failure flag."""
+    hours, load = F.col("operating_hours"), F.col("load_pct")
     return with_targets(
-        m.withColumns(
+        readings.withColumns(
             {
-                "rotation_speed_rpm": 3000 - F.col("operating_hours") / 109.5
-                + (order % 41).cast("double"),
-                "voltage_V": 11000 - F.col("operating_hours") / 29.2 + (order % 53).cast("double"),
-                "current_A": 500 + 2 * F.col("load_pct") + (order % 29).cast("double"),
-                "power_output_MW": 1.8 * F.col("load_pct") - F.col("operating_hours") / 438,
+                "rotation_speed_rpm": 3000 - hours / 109.5 + (number % 41).cast("double"),
+                "voltage_V": 11000 - hours / 29.2 + (number % 53).cast("double"),
+                "current_A": 500 + 2 * load + (number % 29).cast("double"),
+                "power_output_MW": 1.8 * load - hours / 438,
             }
         )
     )
 
 
+def labelled_machines(spark: SparkSession, sf: str) -> DataFrame:
+    return _with_derived(machines(spark, sf), F.col("l_orderkey"))
+
+
+def labelled_assets(spark: SparkSession, sf: str) -> DataFrame:
+    """Readings averaged per part: one row per part, from all order lines."""
+    measured = ("operating_hours", "load_pct", "days_since_maintenance", *SENSORS)
+    means = machines(spark, sf).groupBy("l_partkey").agg(*[F.avg(c).alias(c) for c in measured])
+    return _with_derived(means, F.col("l_partkey"))
+
+
 # --- documents and vectors --------------------------------------------------------
 
 DOCS_SQL = """docs AS (

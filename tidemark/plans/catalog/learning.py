@@ -13,9 +13,9 @@ from tidemark.plans.catalog.base import query, r, rd, round_all
 DAY = [B.TELEMETRY_SQL]
 
 
-def machine_split(spark, sf):
-    columns = [*B.MACHINE_KEY, *B.FEATURES, "RUL_days", "failure"]
-    return split_rows(B.labelled_machines(spark, sf).select(*columns), B.MACHINE_KEY)
+def asset_split(spark, sf):
+    columns = ["l_partkey", *B.FEATURES, "RUL_days", "failure"]
+    return split_rows(B.labelled_assets(spark, sf).select(*columns), ["l_partkey"])
 
 
 def doc_split(spark, sf):
@@ -77,11 +77,11 @@ def _plant_model(spark, sf, name, features):
 
 def _regressor(name):
     def run(spark, sf):
-        train, test = machine_split(spark, sf)
+        train, test = asset_split(spark, sf)
         fitted = M.fit(train, M.REGRESSORS[name], B.FEATURES, "RUL_days")
-        return M.predict(fitted, test).select(*B.MACHINE_KEY, "RUL_days", "predicted")
+        return M.predict(fitted, test).select("l_partkey", "RUL_days", "predicted")
 
-    run.__doc__ = f"{name} of the remaining days on machine readings: predictions of the test rows (M14)."
+    run.__doc__ = f"{name} of the remaining days per part: predictions of the test rows (M14)."
     return run
 
 
@@ -128,9 +128,9 @@ def m21_power_leaderboard(spark, sf):
 
 @query("m21_life_leaderboard")
 def m21_life_leaderboard(spark, sf):
-    """All regressors of the remaining days on machine readings."""
-    train, test = machine_split(spark, sf)
-    return round_all(W.regression_board(train, test, B.FEATURES, "RUL_days", B.MACHINE_KEY))
+    """All regressors of the remaining days per part."""
+    train, test = asset_split(spark, sf)
+    return round_all(W.regression_board(train, test, B.FEATURES, "RUL_days", ["l_partkey"]))
 
 
 @query("m21_quality_leaderboard")
