@@ -1,6 +1,8 @@
 """Run registered queries against their SQL twins on the same parquet files.
 
-Usage: python tests/compare.py <sf_dir> [name-prefix ...]
+Usage: python tests/compare.py [--large] <sf_dir> [name-prefix ...]
+
+``--large`` plans every input as if it were too large for one task or a broadcast.
 """
 
 from __future__ import annotations
@@ -69,11 +71,13 @@ def compare(df, con, sql) -> str | None:
 
 
 def main() -> int:
-    from tests.session import build
+    from tests.session import LARGE, build
     import __spark_entry__ as entry
 
-    sf, prefixes = sys.argv[1], sys.argv[2:]
-    spark = build()
+    args = sys.argv[1:]
+    large = "--large" in args
+    sf, *prefixes = [a for a in args if a != "--large"]
+    spark = build(**(LARGE if large else {}))
     con = connect(sf)
     failures = 0
     for name, fn in entry.queries().items():

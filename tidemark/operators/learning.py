@@ -30,6 +30,7 @@ NETWORK_ITERATIONS, HIDDEN_LAYERS = 300, (128, 64)
 RIDGE_ALPHA = 1.0
 FOLDS = 5
 PARALLEL_FITS = 8
+ROWS_PER_TASK = 5000
 
 
 @dataclass(frozen=True)
@@ -162,8 +163,9 @@ def fit(
         stages += scaling_stages(facts.rows, facts.features, first, "features")
     stages.append(model.build(facts))
     data = train.select(*features, F.col(label).cast("double").alias("label"))
-    if fits_one_task(data):  # a small table may sit in one file split
-        data = data.repartition(train.sparkSession.sparkContext.defaultParallelism)
+    if fits_one_task(data):  # its file splits say little about the work per row
+        cores = train.sparkSession.sparkContext.defaultParallelism
+        data = data.repartition(min(cores, facts.rows // ROWS_PER_TASK + 1))
     return Pipeline(stages=stages).fit(data)
 
 
