@@ -21,11 +21,14 @@ def assert_unique(df: DataFrame, key: Sequence[str]) -> DataFrame:
     return df.where(F.when(repeated <= 1, F.lit(True)).otherwise(F.raise_error(text).cast("boolean")))
 
 
-def lookup(fact: DataFrame, dim: DataFrame, key: str, value: str) -> DataFrame:
+def lookup(
+    fact: DataFrame, dim: DataFrame, key: str, value: str, counted: DataFrame | None = None
+) -> DataFrame:
     """Append ``value`` from a unique-key table; unmatched rows get a missing value."""
     if key not in fact.columns or key not in dim.columns:
         return fact
-    return balanced_join(fact, assert_unique(dim.select(key, value), [key]), [key], "left")
+    unique = assert_unique(dim.select(key, value), [key])
+    return balanced_join(fact, unique, [key], "left", counted=counted)
 
 
 def common_key(fact: DataFrame, dim: DataFrame, candidates: Sequence[str]) -> str | None:
@@ -34,7 +37,11 @@ def common_key(fact: DataFrame, dim: DataFrame, candidates: Sequence[str]) -> st
 
 
 def join_on_id(
-    left: DataFrame, right: DataFrame, key: str, suffixes: tuple[str, str] = ("_cust", "_trans")
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    suffixes: tuple[str, str] = ("_cust", "_trans"),
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Inner join of ``right`` facts to ``left`` on one key; other shared names get suffixes."""
     clash = (set(left.columns) & set(right.columns)) - {key}
@@ -44,8 +51,12 @@ def join_on_id(
 
     facts = tagged(right, suffixes[1])
     dims = tagged(left, suffixes[0])
-    joined = balanced_join(facts, dims, [key])
-    return joined.select(key, *[c for c in dims.columns if c != key], *[c for c in facts.columns if c != key])
+    joined = balanced_join(facts, dims, [key], counted=counted)
+    return joined.select(
+        key,
+        *[c for c in dims.columns if c != key],
+        *[c for c in facts.columns if c != key],
+    )
 
 
 def join_weather(telemetry: DataFrame, weather: DataFrame, measures: Sequence[str]) -> DataFrame:

@@ -28,21 +28,31 @@ def balanced_join(
     on: Sequence[str],
     how: str = "inner",
     spread: Sequence[str] | None = None,
+    counted: DataFrame | None = None,
     salts: int = SALTS,
 ) -> DataFrame:
     """Equi-join of a large ``left`` with ``right`` (``how``: inner, left, left_semi).
 
-    A right side within the broadcast threshold is broadcast. Otherwise both sides
-    are shuffled, and only the hot keys of ``left`` are spread over ``salts`` tasks:
-    their right-hand rows are copied once per salt, all other rows move once.
+    A right side within the broadcast threshold is broadcast. Otherwise the keys of
+    ``left`` are counted first. Without hot keys this is a plain shuffle join; with some,
+    only their rows are spread over ``salts`` tasks: their right-hand rows are copied
+    once per salt, all other rows move once.
+
     ``spread`` names left columns that tell its rows apart (default: all of them).
+    ``counted`` is a table to count the keys in when ``left`` is costly to evaluate, such
+    as the fact table a chain of lookups started from.
     """
     if how not in ("inner", "left", "left_semi"):
         raise ValueError(f"unsupported join type: {how}")
     on = list(on)
     if fits_broadcast(right):
         return left.join(F.broadcast(right), on, how)
-    hot = F.broadcast(hot_keys(left, on).withColumn("_hot", F.lit(True)))
+    keys = hot_keys(left if counted is None else counted, on)
+    rows = keys.collect()  # at most HOT_SHARE
+    if not rows:
+        return left.join(right, on, how)
+    spark = left.sparkSession
+    hot = F.broadcast(spark.createDataFrame(rows, keys.schema).withColumn("_hot", F.lit(True)))
     pick = F.pmod(F.xxhash64(*(spread or left.columns)), F.lit(salts)).cast("int")
     every = F.sequence(F.lit(0), F.lit(salts - 1))
     salted_left = left.join(hot, on, "left").withColumn(

@@ -56,14 +56,9 @@ def spearman(
             for c in cols:
                 ranked = average_rank(ranked, c, by, f"_r_{c}")
         else:
-            cells = [F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in cols]
-            long = ranked.select(*by, F.inline(F.array(*cells)))
-            ranks = durable(distinct_ranks(long, "value", [*by, "column"]))
-            for c in cols:
-                mine = ranks.where(F.col("column") == c).select(
-                    *by, F.col("value").alias(c), F.col("rank").alias(f"_r_{c}")
-                )
-                ranked = balanced_join(ranked, mine, [*by, c])
+            return pearson(_ranked_rows(ranked, cols, by), cols, by).withColumnRenamed(
+                "pearson", "spearman"
+            )
         ranks = ranked.select(*by, *[F.col(f"_r_{c}").alias(c) for c in cols])
         return pearson(ranks, cols, by).withColumnRenamed("pearson", "spearman")
     entries = [
@@ -99,6 +94,22 @@ def spearman(
     return sums.select(*group, (shared / F.nullif(root, F.lit(0.0))).alias("spearman"))
 
 
+def _ranked_rows(df: DataFrame, cols: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """Every cell replaced by its mean rank in its column.
+
+    All columns are ranked together as (row, column, value) cells, with one join, and
+    put back into rows by the row number of the stored table.
+    """
+    stored = durable(df.withColumn("_row", F.monotonically_increasing_id()))
+    cells = [F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in cols]
+    long = stored.select("_row", *by, F.inline(F.array(*cells)))
+    ranks = distinct_ranks(long, "value", [*by, "column"])
+    placed = balanced_join(long, ranks, [*by, "column", "value"], spread=["_row"])
+    return placed.groupBy("_row", *by).agg(
+        *[F.max(F.when(F.col("column") == c, F.col("rank"))).alias(c) for c in cols]
+    )
+
+
 def _weighted_rank(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
     """Mean rank of ``value`` where each row stands for ``n`` equal ones."""
     counts = df.groupBy(*by, value).agg(F.sum("n").alias("_n"))

@@ -22,7 +22,7 @@ def enriched(spark, sf):
 
 def merged(spark, sf):
     """Customers joined with their enriched transactions."""
-    return C.merge(customers(spark, sf), enriched(spark, sf))
+    return C.merge(customers(spark, sf), enriched(spark, sf), B.transactions(spark, sf))
 
 
 @query(
