@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemark.functions.sizing import durable
 from tidemark.operators.ordering import quantiles
 
 # Thresholds of the reported rules, level names.
@@ -66,8 +67,10 @@ def frequent_itemsets(
     """Itemsets of up to ``max_items`` items held by at least ``min_support`` of the rows.
 
     ``baskets`` has sorted ``items`` and a row count ``n``. Items that are rare on their
-    own are removed first; there are at most basket length / min_support others.
+    own are removed first; there are at most basket length / min_support others. The
+    baskets are stored first, because they are read three times.
     """
+    baskets = durable(baskets)
     total = baskets.agg(F.sum("n")).scalar()
     enough = F.col("freq") >= F.lit(min_support) * total
     single = baskets.select(F.explode("items").alias("item"), "n")
@@ -107,8 +110,9 @@ def association_rules(
     """Rules between disjoint parts of every frequent itemset, multi-item on both sides.
 
     Every part of a frequent itemset is frequent, so both supports are found by joining
-    back. A rule that always holds has no conviction.
+    the (stored) itemsets back. A rule that always holds has no conviction.
     """
+    itemsets = durable(itemsets)
     sizes = range(1, max_items)
     part = F.concat(*[_combinations(F.col("items"), k) for k in sizes])
     split = (

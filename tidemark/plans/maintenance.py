@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions import scalars as X
+from tidemark.functions.sizing import durable
 from tidemark.operators import clustering as K, learning as M, mining as R
 from tidemark.operators.sampling import stratified_folds, fold_of
 
@@ -58,6 +59,7 @@ def cluster_board(
     points: DataFrame, dims: int, key: str, eps: Sequence[float], min_points: int = 5
 ) -> DataFrame:
     """Quality of k-means, divisive and density clusterings, best silhouette first."""
+    points = durable(points.select(key, "point"))
     runs = {f"K-Means (k={k})": K.kmeans(points, k) for k in (2, 3, 4)}
     runs |= {f"Bisecting (k={k})": K.bisecting(points, k) for k in (2, 3)}
     runs |= {f"Density (eps={e})": K.density_clusters(points, key, dims, e, min_points) for e in eps}
