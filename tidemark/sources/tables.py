@@ -65,8 +65,18 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
 
 
 def export_variants(df: DataFrame, root: str, variants: dict[str, Sequence[str]]) -> dict[str, str]:
-    """Write one table in several projections: ``variants`` maps a name to the columns to drop."""
+    """Write one table in several projections: ``variants`` maps a name to the columns to drop.
+
+    The rows are computed once, for the first variant that drops nothing (if any); the
+    others are projections of that file.
+    """
     paths = {name: f"{root}/{name}" for name in variants}
+    whole = next((name for name, dropped in variants.items() if not dropped), None)
+    source = df
+    if whole is not None:
+        write_parquet(df, paths[whole])
+        source = df.sparkSession.read.schema(df.schema).parquet(paths[whole])
     for name, dropped in variants.items():
-        write_parquet(df.drop(*dropped), paths[name])
+        if name != whole:
+            write_parquet(source.drop(*dropped), paths[name])
     return paths
