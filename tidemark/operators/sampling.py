@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.scalars import hash_order
-from tidemark.operators.skew import running_total
+from tidemark.operators.skew import balanced_join, running_total
 
 
 def sample_rows(df: DataFrame, n: int, key: Sequence[str], seed: int = 42) -> DataFrame:
@@ -32,7 +32,8 @@ def sample_per_group(
     )
     before = running_total(cells, by, ["_cell"], "_n", "_below")
     limit = before.where(F.col("_below") < n).groupBy(*by).agg(F.max("_cell").alias("_last"))
-    near = marked.join(limit, by).where(F.substring("_mark", 1, 3) <= F.col("_last"))
+    joined = balanced_join(marked, limit, by, spread=list(key))
+    near = joined.where(F.substring("_mark", 1, 3) <= F.col("_last"))
     placed = running_total(near.drop("_last"), by, ["_mark", *key], name="_pos")
     return placed.where(F.col("_pos") < n).drop("_pos", "_mark")
 

@@ -55,8 +55,10 @@ def balanced_join(
     hot = F.broadcast(spark.createDataFrame(rows, keys.schema).withColumn("_hot", F.lit(True)))
     pick = F.pmod(F.xxhash64(*(spread or left.columns)), F.lit(salts)).cast("int")
     every = F.sequence(F.lit(0), F.lit(salts - 1))
+    # Rows with a missing key match nothing, so they may go anywhere.
+    adrift = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
     salted_left = left.join(hot, on, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), pick).otherwise(0)
+        "_salt", F.when(F.col("_hot") | adrift, pick).otherwise(0)
     )
     salted_right = right.join(hot, on, "left").withColumn(
         "_salt", F.explode(F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0))))
