@@ -90,6 +90,13 @@ def test_balanced_join(spark, skewed, planned, how):
     assert got == sorted(expected)
 
 
+def test_rows_without_a_key_survive(spark, planned):
+    left = spark.range(300).selectExpr("IF(id % 3 = 0, NULL, id % 2) AS k", "id AS i")
+    right = spark.createDataFrame([(0, "even"), (None, "never")], "k long, y string")
+    got = dict(balanced_join(left, right, ["k"], "left", ["i"]).groupBy("y").count().collect())
+    assert got == {"even": 100, None: 200}
+
+
 def test_hot_keys_are_bounded(skewed):
     _, df = skewed
     assert [r.k for r in hot_keys(df, ["k"], share=4).collect()] == ["hot"]

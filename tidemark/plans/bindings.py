@@ -3,7 +3,7 @@
 No telemetry, customer or machine files exist here, so each is a projection of a
 given table: every row of the source is used, derived columns are plain arithmetic,
 and missing or repeated cells are created by rule. ``*_SQL`` constants state the same
-definitions for the reference engine the queries are checked against.
+definitions for the SQL engine the queries are checked with.
 """
 
 from __future__ import annotations

@@ -23,6 +23,11 @@ def p1_crop(spark, sf):
     return P.crop(B.padded(B.system1(spark, sf)), 1, 1, ["` row_no `"])
 
 
+@query("p2_trim_names", "SELECT 'x' AS \"Unnamed\", * FROM system2", SYSTEMS)
+def p2_trim_names(spark, sf):
+    return P.strip_names(B.padded(B.system2(spark, sf)))
+
+
 @query("p3_select", "SELECT o_orderkey, o_totalprice FROM orders")
 def p3_select(spark, sf):
     return B.table(spark, sf, "orders").select("o_orderkey", "o_totalprice")

@@ -51,6 +51,20 @@ def j1_lookup_price(spark, sf):
     )
 
 
+@query(
+    "j2_key_choice",
+    """SELECT o.o_orderkey AS o_orderkey, o.o_custkey AS "ProductID", c.c_acctbal AS "Price"
+      FROM orders o LEFT JOIN customer c ON c.c_custkey = o.o_custkey""",
+)
+def j2_key_choice(spark, sf):
+    """The first candidate name is missing on one side, so the second one is the key."""
+    fact = B.table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").alias("ProductID"))
+    dim = B.table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("ProductID"), F.col("c_acctbal").alias("Price")
+    )
+    return J.lookup(fact, dim, J.common_key(fact, dim, C.PRODUCT_KEYS), "Price")
+
+
 @query(
     "j3_inner",
     f"""SELECT CustomerID AS "CustomerID", CustomerGroup AS "CustomerGroup", AgeGroup AS "AgeGroup",

@@ -36,6 +36,21 @@ def s1_csv_scan(spark, sf):
     return S.read_csv(spark, path, _schema(ddl)).withColumn("ac_power", rd("ac_power", 2))
 
 
+@query(
+    "s2_spreadsheet_landed",
+    """SELECT * REPLACE (CASE WHEN Age <> 'n/a' THEN Age END AS Age) FROM system1
+      WHERE row_no > (SELECT min(row_no) FROM system1)""",
+    [B.CUSTOMERS_SQL],
+)
+def s2_spreadsheet_landed(spark, sf):
+    """A sheet landed as text with a filler column, padded names and a leading filler row."""
+    path = scratch_path(spark)
+    sheet = B.padded(B.system1(spark, sf))
+    S.write_csv(sheet, path)
+    landed = S.read_csv(spark, path, sheet.schema)
+    return P.crop(landed, 1, 1, ["` row_no `"])
+
+
 @query(
     "s3_sql_scan",
     "SELECT * FROM transactions",
@@ -81,6 +96,20 @@ def s5_csv_sink(spark, sf):
     return S.read_csv(spark, path, _schema("segment string, n long, total double"))
 
 
+@query(
+    "s6_result_table",
+    f"SELECT o_orderpriority AS priority, count(*) AS n, {r('avg(o_totalprice)', 2)} AS mean_price FROM orders GROUP BY 1",
+)
+def s6_result_table(spark, sf):
+    """Write a result table to columnar files and read it back."""
+    path = scratch_path(spark)
+    result = B.table(spark, sf, "orders").groupBy(F.col("o_orderpriority").alias("priority")).agg(
+        F.count(F.lit(1)).alias("n"), rd(F.avg("o_totalprice"), 2).alias("mean_price")
+    )
+    S.write_parquet(result, path)
+    return S.read_parquet(spark, path)
+
+
 @query(
     "s7_multi_projection",
     """SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, operating_hours, load_pct,

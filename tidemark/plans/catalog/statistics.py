@@ -85,6 +85,19 @@ def t5_rank(spark, sf):
     return round_all(S.feature_ranking(best(spark, sf), "ac_power", ["plant"]))
 
 
+@query(
+    "t4_lower_triangle",
+    " UNION ALL ".join(
+        f"SELECT '{a}' AS \"row\", '{b}' AS col, {r(f'corr({a}, {b})', 2)} AS pearson FROM machines"
+        for a, b in S.lower_pairs(B.SENSORS)
+    ),
+    [B.MACHINES_SQL],
+)
+def t4_lower_triangle(spark, sf):
+    """Only the cells below the diagonal, without groups."""
+    return round_all(S.pearson(B.machines(spark, sf), B.SENSORS), 2)
+
+
 TREND_SQL = """daily AS (SELECT plant, date, max(daily_yield) AS y, sum(irradiation) AS x FROM telemetry GROUP BY 1, 2),
 trend AS (SELECT plant, regr_slope(y, x) AS slope, regr_intercept(y, x) AS intercept, regr_r2(y, x) AS r2,
   min(x) AS x_min, max(x) AS x_max FROM daily GROUP BY 1)"""
