@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.llm import fingerprints, secrets, url_filter
+from tidemark.llm import bpe, fingerprints, secrets, url_filter
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
+#: Vocabulary of the encoder.
+VOCABULARY = "word_bpe_49k.json"
 ALLOWED = [("org", "/"), ("com", "/fr/")]
 BLOCKED = [("example.org", "/es/"), ("example.org", "/en/1"), ("com", "/de/")]
 
@@ -49,3 +52,19 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.encode(secrets.spans_text(of(*secrets.BASE)), "UTF-8"), 256).alias("base_sha256"),
         secrets.spans_text(F.col("spans")).alias("spans"),
     )
+
+
+def encoded(docs: DataFrame, path: str) -> DataFrame:
+    """Digests of the token ids of ``docs`` (doc_id, text) and of what they decode to."""
+    ids = bpe.encode(docs.select("doc_id", "text"), path)
+    return bpe.decode(ids, path).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.encode(F.array_join(F.col("ids").cast("array<string>"), " "), "UTF-8"), 256).alias("ids_sha256"),
+        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
+    )
+
+
+@query
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoded(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
