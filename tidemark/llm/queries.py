@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, fingerprints, language, secrets, toxicity, url_filter
+from tidemark.llm import bpe, fingerprints, jaccard_join, language, secrets, toxicity, url_filter
 from tidemark.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,6 +60,43 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(table(spark, sf_dir, "documents"))
+
+
+#: Links of all pairs of documents that share a shingle, and their connected components.
+ORACLE["op8_jaccard_join"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{M}\p{N}]+') AS w FROM documents
+), shingles AS MATERIALIZED (
+  SELECT DISTINCT doc_id, unnest(
+    CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS g
+  FROM words
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+  FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2
+), links AS MATERIALIZED (
+  SELECT x, y, c = p.n AND c = q.n AS same
+  FROM shared JOIN sizes p ON x = p.doc_id JOIN sizes q ON y = q.doc_id
+  WHERE 10 * c >= 8 * (p.n + q.n - c)
+), reach AS (
+  SELECT doc_id AS x, doc_id AS y FROM documents
+  UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x
+), sets AS MATERIALIZED (  -- the least document of each set of equal shingles
+  SELECT d.doc_id, least(d.doc_id, coalesce(min(l.y) FILTER (l.same), d.doc_id)) AS s
+  FROM documents d LEFT JOIN links l ON l.x = d.doc_id GROUP BY d.doc_id
+)
+SELECT d.doc_id, (SELECT min(y) FROM reach WHERE reach.x = d.doc_id) AS class_id,
+       count(l.y) AS n_links,
+       count(DISTINCT s.s) FILTER (NOT l.same) AS n_linked_texts
+FROM documents d LEFT JOIN links l ON l.x = d.doc_id LEFT JOIN sets s ON s.doc_id = l.y
+GROUP BY d.doc_id
+"""
+
+
 @query
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = secrets.scan(table(spark, sf_dir, "documents"))

@@ -20,17 +20,19 @@ class Words(NamedTuple):
     text_of: np.ndarray
 
 
-def split_words(texts: pa.Array) -> Words:
-    """Runs of letters in lower case (single letters of Han and kana); null texts have none."""
+def split_words(texts: pa.Array, digits: bool = False) -> Words:
+    """Runs of letters (and ``digits``, if asked for) in lower case, single letters of Han and
+    kana; null texts have none."""
     lower = pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
     spaced = pc.replace_substring_regex(lower, f"({SINGLE})", r" \1 ")
-    lists = pc.split_pattern_regex(spaced, r"[^\p{L}\p{M}]+")
+    lists = pc.split_pattern_regex(spaced, r"[^\p{L}\p{M}\p{N}]+" if digits else r"[^\p{L}\p{M}]+")
     coded = lists.flatten().dictionary_encode()
     sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
     text_of = np.repeat(np.arange(len(lists)), sizes)
     forms = coded.dictionary.to_pylist()
     form_of = coded.indices.to_numpy(zero_copy_only=False)
-    real = np.array([f.isalpha() or any(map(str.isalpha, f)) for f in forms], bool)
+    kind = str.isalnum if digits else str.isalpha
+    real = np.array([kind(f) or any(map(kind, f)) for f in forms], bool)
     keep = real[form_of] if len(form_of) else np.zeros(0, bool)
     return Words(forms, form_of[keep], text_of[keep])
 
