@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, fingerprints, jaccard_join, language, neighbours, secrets, toxicity, url_filter
+from tidemark.llm import bpe, fingerprints, jaccard_join, language, mixing, neighbours, secrets, token_counts, toxicity, url_filter
 from tidemark.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,8 @@ ORACLE: dict[str, str] = {}
 
 #: Vocabulary of the encoder.
 VOCABULARY = "word_bpe_49k.json"
+#: Ranks of the tokens of flat files, and their end-of-document identifier.
+TOKEN_RANKS, END_OF_TEXT = "byte_bpe_50k.tiktoken", 50256
 ALLOWED = [("org", "/"), ("com", "/fr/")]
 BLOCKED = [("example.org", "/es/"), ("example.org", "/en/1"), ("com", "/de/")]
 
@@ -25,6 +27,92 @@ def query(fn: Query) -> Query:
     return fn
 
 
+#: Domain of each source; others are in the domain "other".
+DOMAINS = {f"src{i}": d for d, ids in {"crawl": [0], "books": range(1, 7), "code": range(7, 13), "forum": range(13, 18)}.items() for i in ids}
+#: Target weights of domains and of their languages; sources weigh the same but for one.
+WEIGHTS = (
+    {("crawl",): 0.3, ("books",): 0.35, ("code",): 0.15, ("forum",): 0.1, ("other",): 0.1}
+    | {(d, lang): w for d in ("crawl", "books", "code", "forum", "other") for lang, w in (("en", 0.4), ("de", 0.3), ("fr", 0.2), ("es", 0.1))}
+    | {("books", "en", "src1"): 3.0}
+)
+MIX_SHARE, MIX_EPOCHS, MIX_SEED = 0.8, 2, 20
+
+
+def mix_levels() -> list[str | Column]:
+    names = F.create_map(*[F.lit(x) for pair in DOMAINS.items() for x in pair])
+    return [F.coalesce(names[F.col("source")], F.lit("other")), "lang", "source"]
+
+
+@query
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    mix = mixing.Mix(docs, mix_levels(), WEIGHTS, MIX_SHARE, MIX_EPOCHS, MIX_SEED)
+    return mix.select(docs).select(
+        "doc_id", mix_levels()[0].alias("domain"), "lang", "source", "epoch", "n_tokens", "take_tokens"
+    )
+
+
+def _mixing_sql() -> str:
+    """The same shares by window sums, the prefixes by a running sum over each leaf."""
+    cols = ["l0", "l1", "l2"]
+
+    def case(path: str, names: dict, default: str) -> str:
+        when = " ".join(f"WHEN '{k}' THEN {v}" for k, v in names.items())
+        return f"CASE {path} {when} ELSE {default} END"
+
+    ctes = [
+        f"""docs AS MATERIALIZED (SELECT doc_id, lang, source,
+              {case("source", {k: f"'{v}'" for k, v in DOMAINS.items()}, "'other'")} AS l0,
+              coalesce(lang, 'none') AS l1, coalesce(source, 'none') AS l2,
+              len(regexp_extract_all(coalesce(text, ''), '[^ \\t\\n\\r\\f]+')) AS n FROM documents)""",
+        "leaf AS (SELECT l0, l1, l2, sum(n) AS tokens FROM docs GROUP BY ALL)",
+    ]
+    below = f"(SELECT *, tokens * {float(MIX_EPOCHS)} AS holds FROM leaf)"
+    for level in (3, 2, 1):
+        at = ", ".join(cols[:level])
+        named = {"|".join(k): w for k, w in WEIGHTS.items() if len(k) == level}
+        weight = case(f"concat_ws('|', {at})", named, "1.0")
+        ctes.append(f"""h{level} AS MATERIALIZED (SELECT {at}, CAST(sum(holds) AS DOUBLE) AS holds, CAST({weight} AS DOUBLE) AS weight
+              FROM {below} GROUP BY {at} HAVING sum(holds) > 0 AND CAST({weight} AS DOUBLE) > 0)""")
+        below = f"h{level}"
+    ctes.append(f"g0 AS (SELECT least((SELECT floor({MIX_SHARE} * sum(tokens)) FROM leaf), (SELECT sum(holds) FROM h1)) AS given)")
+    for level in (1, 2, 3):
+        up, at = cols[: level - 1], cols[:level]
+        join = f"JOIN g{level - 1} u USING ({', '.join(up)})" if up else "CROSS JOIN g0 u"
+        by = f"PARTITION BY {', '.join(up)}" if up else ""
+        ctes.append(f"""m{level} AS (SELECT h.*, u.given AS budget,
+              coalesce(sum(holds) OVER ({by} ORDER BY holds / weight, {', '.join(at)} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+              + holds / weight * sum(weight) OVER ({by} ORDER BY holds / weight, {', '.join(at)} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+              <= u.given AS whole FROM h{level} h {join})""")
+        ctes.append(f"""g{level} AS (SELECT {', '.join(at)}, least(holds, CASE WHEN whole THEN holds ELSE
+              (budget - sum(CASE WHEN whole THEN holds ELSE 0 END) OVER ({by})) * weight
+              / sum(CASE WHEN whole THEN 0 ELSE weight END) OVER ({by}) END) AS given FROM m{level})""")
+    return f"""WITH {', '.join(ctes)},
+      plan AS (SELECT l0, l1, l2, CAST(floor(given + 1e-6) AS BIGINT) AS b, tokens FROM g3 JOIN leaf USING (l0, l1, l2)),
+      part AS (SELECT *, CAST(b // tokens AS INTEGER) AS passes, b % tokens AS remain FROM plan),
+      every AS (SELECT d.*, p.*, CAST(e AS INTEGER) AS epoch,
+                md5(concat('{MIX_SEED}:', e, ':', coalesce(CAST(doc_id AS VARCHAR), ''))) AS o
+                FROM docs d JOIN part p USING (l0, l1, l2), range({MIX_EPOCHS}) r(e) WHERE e <= passes),
+      placed AS (SELECT *, sum(n) OVER (PARTITION BY l0, l1, l2, epoch ORDER BY o ROWS UNBOUNDED PRECEDING) - n AS before FROM every)
+      SELECT doc_id, l0 AS domain, lang, source, epoch, n AS n_tokens,
+             CAST(CASE WHEN epoch < passes THEN n ELSE least(n, remain - before) END AS BIGINT) AS take_tokens
+      FROM placed WHERE epoch < passes OR before < remain"""
+
+
+ORACLE["op1_mixing"] = _mixing_sql()
+
+
+@query
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ranks = public_tokenizers.path(TOKEN_RANKS)
+    files, manifest = token_counts.write_flat(docs, ranks, public_tokenizers.PATTERN, END_OF_TEXT)
+    counts = token_counts.scan(files, END_OF_TEXT)
+    return counts.join(manifest, ["file", "ordinal"], "left").select(
+        "doc_id", "file", "ordinal", "first_token", "n_tokens", "terminated"
+    )
+
+
 @query
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
