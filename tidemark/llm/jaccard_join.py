@@ -132,6 +132,7 @@ def _prepared(words: int, threshold: float, roots: list[int]):
                 yield pa.RecordBatch.from_pydict(
                     {
                         "doc_id": part.column(0),
+                        "text_hash": part.column(2),
                         "k1": pa.array([int.from_bytes(d[:8], "little", signed=True) for d in digests], pa.int64()),
                         "k2": pa.array([int.from_bytes(d[8:], "little", signed=True) for d in digests], pa.int64()),
                         "size": pa.array(sizes, pa.int64()),
@@ -332,20 +333,21 @@ def join(
     Two documents are linked if the Jaccard similarity of their shingle sets is at least
     ``threshold``. ``class_id`` is the smallest doc_id connected to the row by links (its own
     without any; null ids do not count); ``n_links`` counts the other rows linked to it, copies
-    included, ``n_linked_texts`` the other shingle sets. Texts without words (null, empty)
-    are linked to nothing, a text of fewer words than a shingle is one shingle; repeated rows
-    are copies of each other; other columns are ignored.
+    included, ``n_linked_texts`` the other shingle sets. ``kept`` marks one row of each class,
+    with its smallest doc_id; ``text_hash`` is the xxhash64 of its text. Texts without words
+    (null, empty) are linked to nothing and kept, a text of fewer words than a shingle is one
+    shingle; repeated rows are copies of each other; other columns are ignored.
     """
     roots = _roots(runs_for(recall))
-    prepared = docs.select("doc_id", "text").mapInArrow(
+    prepared = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(
         _prepared(words, threshold, roots),
-        "doc_id long, k1 long, k2 long, size long, nodes array<long>, sketch binary, tokens binary",
+        "doc_id long, text_hash long, k1 long, k2 long, size long, nodes array<long>, sketch binary, tokens binary",
     )
     sets = stored(prepared.withColumn("uid", F.monotonically_increasing_id()))
     distinct = stored(
         sets.where("size > 0").groupBy("k1", "k2").agg(
             F.min("uid").alias("uid"),
-            F.min("doc_id").alias("least"),
+            F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.col("uid").alias("row"))).alias("least"),
             F.count(F.lit(1)).alias("copies"),
             *[F.first(c).alias(c) for c in ("size", "nodes", "sketch")],
         )
@@ -377,15 +379,34 @@ def join(
     known = distinct.select("k1", "k2", "uid", "least", "copies")
     named = known.join(classes.withColumnRenamed("node", "uid"), "uid", "left").join(degrees, "uid", "left")
     least = named.where("component IS NOT NULL").groupBy("component").agg(F.min("least").alias("of_class"))
+    of_class = F.coalesce("of_class", "least")
     result = named.join(least, "component", "left").select(
         "k1",
         "k2",
-        F.coalesce("of_class", "least").alias("class_id"),
+        of_class["doc_id"].alias("class_id"),
+        of_class["row"].alias("kept_row"),
         (F.coalesce("documents", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         F.coalesce("texts", F.lit(0)).cast("long").alias("n_linked_texts"),
     )
-    some = sets.where("size > 0").select("doc_id", "k1", "k2").join(result, ["k1", "k2"])
-    none = sets.where("size = 0").select(
-        "doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(0).cast("long").alias("n_linked_texts")
+    rows = sets.select("doc_id", "text_hash", "size", "k1", "k2", "uid")
+    some = rows.where("size > 0").join(result, ["k1", "k2"])
+    none = rows.where("size = 0").select(
+        "*",
+        F.col("doc_id").alias("class_id"),
+        F.col("uid").alias("kept_row"),
+        *[F.lit(0).cast("long").alias(c) for c in ("n_links", "n_linked_texts")],
     )
-    return some.drop("k1", "k2").unionByName(none)
+    return some.unionByName(none).select(
+        "doc_id", "class_id", "n_links", "n_linked_texts", (F.col("uid") == F.col("kept_row")).alias("kept"), "text_hash"
+    )
+
+
+def distinct_documents(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS) -> DataFrame:
+    """The rows of ``docs`` of which one document of each class of ``join`` stays.
+
+    All columns are kept. Rows equal in doc_id and text count as one.
+    """
+    kept = join(docs, threshold, words).where("kept").select(F.col("doc_id").alias("kept_id"), "text_hash")
+    rows = docs.select(F.struct("*").alias("doc"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("text_hash"))
+    same = F.col("id").eqNullSafe(F.col("kept_id")) & (rows["text_hash"] == kept["text_hash"])
+    return rows.join(kept, same, "left_semi").dropDuplicates(["id", "text_hash"]).select("doc.*")

@@ -174,7 +174,8 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.join(table(spark, sf_dir, "documents"))
+    links = jaccard_join.join(table(spark, sf_dir, "documents"))
+    return links.select("doc_id", "class_id", "n_links", "n_linked_texts")
 
 
 #: Links of all pairs of documents that share a shingle, and their connected components.

@@ -148,6 +148,18 @@ def link_parts(parts: DataFrame, key: list[str], reach: int = REACH) -> DataFram
     return seen.where(complete).select(*key, "ord", "kind", "role", "start", "end")
 
 
+def _key(text: Column) -> Column:
+    return F.struct(F.col("doc_id"), F.xxhash64(text), F.length(text))
+
+
+def span_rows(docs: DataFrame, reach: int = REACH) -> DataFrame:
+    """(doc_key, start, ord, kind, end) of every span of ``docs`` (doc_key, text)."""
+    key = ["doc_key"]
+    parts = find_parts(docs, key)
+    columns = [*key, "start", "ord", "kind", "end"]
+    return parts.where("strong").select(columns).unionByName(link_parts(parts, key, reach).select(columns))
+
+
 def scan(docs: DataFrame, reach: int = REACH) -> DataFrame:
     """Every row of ``docs`` (doc_id, text) with ``spans``, an array of (start, ord, kind, end).
 
@@ -157,21 +169,50 @@ def scan(docs: DataFrame, reach: int = REACH) -> DataFrame:
     ``docs`` are ignored.
     """
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    docs = docs.withColumn("doc_key", F.struct(F.col("doc_id"), F.xxhash64("text"), F.length("text")))
-    key = ["doc_key"]
-    parts = find_parts(docs, key)
-    base = parts.where("strong").select(*key, "ord", "kind", "start", "end")
-    linked = link_parts(parts, key, reach).select(*key, "ord", "kind", "start", "end")
-    spans = base.unionByName(linked).groupBy(*key).agg(
+    docs = docs.withColumn("doc_key", _key(F.col("text")))
+    listed = span_rows(docs, reach).groupBy("doc_key").agg(
         F.array_sort(F.collect_list(F.struct("start", "ord", "kind", "end"))).alias("spans")
     )
     empty = F.array().cast("array<struct<start:bigint,ord:int,kind:string,end:bigint>>")
-    joined = docs.select("doc_id", "doc_key").join(
-        spans, "doc_key", "left"
-    )
+    joined = docs.select("doc_id", "doc_key").join(listed, "doc_key", "left")
     return joined.select("doc_id", F.coalesce("spans", empty).alias("spans"))
 
 
+def redact(docs: DataFrame, reach: int = REACH) -> DataFrame:
+    """``docs`` with every span in ``text`` replaced by its kind in brackets, overlapping spans
+    by the first one's; all columns are kept. Only documents with a match are moved."""
+    matches = F.lit(False)
+    for kind in KINDS:
+        matches = matches | F.col("text").rlike(kind.pattern)
+    matches = F.coalesce(matches, F.lit(False))
+    some = docs.where(matches).select(F.struct("*").alias("doc"), "doc_id", "text")
+    some = some.withColumn("doc_key", _key(F.col("text")))
+    order = W.partitionBy("doc_key").orderBy("start", "ord")
+    reached = F.max("end").over(order.rowsBetween(W.unboundedPreceding, -1))
+    opens = F.when(F.coalesce(F.col("start") >= reached, F.lit(True)), 1).otherwise(0)
+    runs = (
+        span_rows(some.select("doc_key", "text"), reach)
+        .withColumn("opens", opens)
+        .withColumn("run", F.sum("opens").over(order))
+        .groupBy("doc_key", "run")
+        .agg(F.min("start").alias("a"), F.max("end").alias("b"), F.min_by("kind", F.struct("start", "ord")).alias("kind"))
+        .groupBy("doc_key")
+        .agg(F.array_sort(F.collect_list(F.struct("a", "b", "kind"))).alias("runs"))
+    )
+
+    def piece(run: Column, i: Column) -> Column:
+        # from the end of the run before (0 for the first) to the start of this one
+        before = F.when(i > 0, F.get(F.col("runs"), i - 1)["b"]).otherwise(0)
+        gap = F.substring(F.col("text"), before.cast("int") + 1, (run["a"] - before).cast("int"))
+        return F.concat(gap, F.lit("["), run["kind"], F.lit("]"))
+
+    rest = F.substring(F.col("text"), F.element_at("runs", -1)["b"].cast("int") + 1, F.length("text"))
+    clean = F.concat(F.array_join(F.transform("runs", piece), ""), rest)
+    joined = some.join(runs, "doc_key", "left").withColumn("clean", F.coalesce(clean, F.col("text")))
+    columns = [F.col("clean").alias("text") if c == "text" else F.col(f"doc.{c}") for c in docs.columns]
+    return docs.where(~matches).unionByName(joined.select(columns))
+
+
 def spans_text(spans: Column) -> Column:
     return F.array_join(
         F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))),
