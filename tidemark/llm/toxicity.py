@@ -53,26 +53,44 @@ class Model(NamedTuple):
     weights: np.ndarray
 
 
-def features(forms: Sequence[str], form_of: np.ndarray, text_of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(text, feature) once for every word, letter group of a word, and pair of neighbours."""
+def _hashed(forms: Sequence[str], form_of: np.ndarray, text_of: np.ndarray):
+    """Features of each form (form, feature), and of each pair of neighbours (text, feature)."""
     mix = np.uint64(0x9E3779B97F4A7C15)
     shift = np.uint64(64 - (FEATURES.bit_length() - 1))
     hashes = np.array([zlib.crc32(f.encode("utf-8", "surrogatepass")) for f in forms], np.uint64)
     group, form = letter_groups(list(forms), *GROUP, FEATURES)
+    form = np.concatenate([np.arange(len(forms)), form])
+    feature = np.concatenate([(hashes * mix >> shift).astype(np.int64), group])
+    word_of = hashes[form_of]
+    pairs = ((word_of[:-1] * mix ^ word_of[1:]) * mix) >> shift
+    together = text_of[:-1] == text_of[1:]
+    return form, feature, text_of[:-1][together], pairs[together].astype(np.int64)
+
+
+def features(
+    forms: Sequence[str], form_of: np.ndarray, text_of: np.ndarray, used: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """(text, feature) once for every word, letter group of a word, and pair of neighbours;
+    only those marked in ``used``, if given."""
+    form, feature, text, pair = _hashed(forms, form_of, text_of)
+    if used is not None:
+        own, both = used[feature], used[pair]
+        form, feature, text, pair = form[own], feature[own], text[both], pair[both]
+        some = np.zeros(len(forms), bool)
+        some[form] = True
+        words = some[form_of]
+        form_of, text_of = form_of[words], text_of[words]
     order = np.argsort(form, kind="stable")
-    group, size = group[order], np.bincount(form, minlength=len(forms))
+    feature, size = feature[order], np.bincount(form, minlength=len(forms))
     first = np.cumsum(size) - size
     once = np.unique(text_of * max(1, len(forms)) + form_of)
-    text, form = np.divmod(once, max(1, len(forms)))
+    owner, form = np.divmod(once, max(1, len(forms)))
     many = size[form]
     at = np.repeat(first[form] - (np.cumsum(many) - many), many) + np.arange(many.sum())
-    word_of = hashes[form_of]
-    pairs = ((word_of[:-1] * mix ^ word_of[1:]) * mix) >> shift
-    together = text_of[:-1] == text_of[1:]
-    feature = np.concatenate([(hashes[form] * mix >> shift).astype(np.int64), group[at], pairs[together].astype(np.int64)])
-    owner = np.concatenate([text, np.repeat(text, many), text_of[:-1][together]])
-    used = np.unique(owner * FEATURES + feature)
-    return used // FEATURES, used % FEATURES
+    found = np.unique(
+        np.concatenate([np.repeat(owner, many), text]) * FEATURES + np.concatenate([feature[at], pair])
+    )
+    return found // FEATURES, found % FEATURES
 
 
 def _swaps(identities: Sequence[Sequence[str]]) -> tuple[dict[str, str], dict[str, str]]:
@@ -223,8 +241,7 @@ def learn(
 
 
 def score_texts(texts: pa.Array, model: Model) -> np.ndarray:
-    words = split_words(texts)
-    text, feature = features(*words)
+    text, feature = features(*split_words(texts), model.weights != 0)
     return _sigmoid(model.bias + np.bincount(text, model.weights[feature], len(texts)))
 
 
