@@ -5,7 +5,7 @@ import os
 from pyspark.sql import SparkSession
 
 #: Settings under which no input counts as small.
-LARGE = {"spark.tidemark.singleTaskBytes": "0", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+LARGE = {"spark.tidemark.singleTaskRows": "-1", "spark.sql.autoBroadcastJoinThreshold": "-1"}
 
 
 def build(**extra: str) -> SparkSession:

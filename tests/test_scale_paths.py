@@ -6,9 +6,11 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import clustering as K, mining as R, ordering as O, sampling as L
+from pyspark.ml import regression as R_ML
+
+from tidemark.operators import clustering as K, learning as M, mining as R, ordering as O, sampling as L
 from tidemark.operators import statistics as S
-from tidemark.operators.skew import balanced_join, hot_keys, running_total
+from tidemark.operators.skew import balanced_join, running_total
 
 
 @pytest.fixture(scope="module")
@@ -84,7 +86,7 @@ def test_spearman_paths_agree(skewed, planned):
 def test_balanced_join(spark, skewed, planned, how):
     rows, df = skewed
     right = spark.createDataFrame([("hot", 1), ("hot", 2), ("k1", 3)], "k string, y int")
-    got = sorted((r.k, r.i) for r in balanced_join(df, right, ["k"], how, ["i"]).collect())
+    got = sorted((r.k, r.i) for r in balanced_join(df, right, ["k"], how).collect())
     times = {"inner": {"hot": 2, "k1": 1}, "left": {"hot": 2}, "left_semi": {"hot": 1, "k1": 1}}[how]
     expected = [(k, i) for k, i, _ in rows for _ in range(times.get(k, 1 if how == "left" else 0))]
     assert got == sorted(expected)
@@ -93,13 +95,83 @@ def test_balanced_join(spark, skewed, planned, how):
 def test_rows_without_a_key_survive(spark, planned):
     left = spark.range(300).selectExpr("IF(id % 3 = 0, NULL, id % 2) AS k", "id AS i")
     right = spark.createDataFrame([(0, "even"), (None, "never")], "k long, y string")
-    got = dict(balanced_join(left, right, ["k"], "left", ["i"]).groupBy("y").count().collect())
+    got = dict(balanced_join(left, right, ["k"], "left").groupBy("y").count().collect())
     assert got == {"even": 100, None: 200}
-
-
-def test_hot_keys_are_bounded(skewed):
-    _, df = skewed
-    assert [r.k for r in hot_keys(df, ["k"], share=4).collect()] == ["hot"]
+    got = dict(balanced_join(left, right, ["k"], "left", null_safe=True).groupBy("y").count().collect())
+    assert got == {"even": 100, "never": 100, None: 100}
+
+
+@pytest.fixture
+def small_partitions(spark):
+    """Settings under which Spark splits partitions of test size."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+@pytest.mark.parametrize("hot_side", ["left", "right"])
+def test_hot_keys_are_split(spark, tmp_path, small_partitions, hot_side):
+    """A key with most rows, on either side of an inner join: no task joins all of them."""
+    spark.range(200_000).selectExpr("IF(id % 10 < 8, 0, id) AS k", "uuid() AS x").repartition(8).write.parquet(f"{tmp_path}/hot")
+    spark.range(20_000).selectExpr("id * 10 AS k", "uuid() AS y").write.parquet(f"{tmp_path}/even")
+    hot, even = spark.read.parquet(f"{tmp_path}/hot"), spark.read.parquet(f"{tmp_path}/even")
+    left, right = (hot, even) if hot_side == "left" else (even, hot)
+    joined = balanced_join(left, right, ["k"])
+    joined.withColumn("p", F.spark_partition_id()).write.parquet(f"{tmp_path}/joined")
+    tasks = spark.read.parquet(f"{tmp_path}/joined").where("k = 0").groupBy("p").count().collect()
+    assert sum(r["count"] for r in tasks) == 160_000 and len(tasks) >= 3
+    assert max(r["count"] for r in tasks) < 0.5 * 160_000
+
+
+def test_missing_keys_in_ranks(spark, tmp_path, planned):
+    """A missing group key is a group, from stored tables and under either plan."""
+    spark.range(60).selectExpr("IF(id % 3 = 0, NULL, id % 3) AS k", "double(id % 7) AS v", "double(id * 13 % 11) AS w").write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    ranks = O.average_rank(df, "v", ["k"])
+    assert ranks.where("rank IS NULL").count() == 0 and ranks.count() == 60
+    full = {(r.k, r.row): r.spearman for r in S.spearman(df, ["v", "w"], ["k"], complete=True).collect()}
+    pairs = {(r.k, r.row): r.spearman for r in S.spearman(df, ["v", "w"], ["k"]).collect()}
+    assert full.keys() == pairs.keys() == {(None, "w"), (1, "w"), (2, "w")}
+    assert all(abs(full[k] - pairs[k]) < 1e-12 for k in full)
+    best = S.best_correlation(S.pearson(df, ["v", "w"], ["k"]), S.spearman(df, ["v", "w"], ["k"], complete=True), ["k"])
+    assert best.count() == 3
+
+
+def test_models_do_not_depend_on_the_plan(spark):
+    """The same rows in one file and in many give the same trees."""
+    rows = spark.range(3000).selectExpr("id", "double(id * 37 % 101) AS a", "double(id * 11 % 53) AS b").withColumn("y", F.col("a") * 2 + F.col("b") * F.col("b"))
+    recipe = M.Model(lambda f: R_ML.RandomForestRegressor(featuresCol="features", labelCol="label", numTrees=5, maxDepth=5, seed=1))
+    found = []
+    for parts in (1, 7):
+        fitted = M.fit(rows.repartition(parts), recipe, ["a", "b"], "y")
+        found.append({r.id: r.predicted for r in M.predict(fitted, rows).collect()})
+    assert found[0] == found[1]
+
+
+@pytest.mark.parametrize("share", [0.001, 0.2, 0.999])
+def test_split_shares(spark, share):
+    train, test = L.split_rows(spark.range(20_000), ["id"], share)
+    assert abs(test.count() / 20_000 - share) < 0.01 and train.count() + test.count() == 20_000
+    for wrong in (0, 1, 1.5):
+        with pytest.raises(ValueError):
+            L.split_rows(spark.range(1), ["id"], wrong)
+
+
+def test_itemsets_have_no_size_limit(spark):
+    df = spark.createDataFrame([(list("abcde"),)] * 10, "items array<string>")
+    sets = R.frequent_itemsets(R.basket_counts(df), 0.5)
+    assert sets.count() == R.grown_itemsets(df, "items", 0.5).count() == 31
+    assert R.frequent_itemsets(R.basket_counts(df), 0.5, max_items=2).count() == 15
+    assert R.association_rules(sets, 0.0, 0.0).count() == 3**5 - 2 * 2**5 + 1
 
 
 def test_sample_per_group(skewed, planned):

@@ -102,9 +102,20 @@ def machine_label(number: Column) -> Column:
     return F.format_string("GEN_%04d", number)
 
 
-def parse_timestamp(
-    c: Column, patterns: Sequence[str] = ("yyyy-MM-dd HH:mm:ss", "dd-MM-yyyy HH:mm")
-) -> Column:
+#: Layouts of timestamps: year first, or day first.
+TIMESTAMP_LAYOUTS = tuple(
+    f"{date}{between}{time}"
+    for date, between in (("yyyy-MM-dd", " "), ("yyyy-MM-dd", "'T'"), ("dd-MM-yyyy", " "), ("dd/MM/yyyy", " "))
+    for time in ("HH:mm:ss", "HH:mm")
+)
+
+
+def unparsed_count(text: Column, parsed: Column) -> Column:
+    """How many cells hold a text that gave no value; nothing is lost without being counted."""
+    return F.count(F.when(text.isNotNull() & parsed.isNull(), 1))
+
+
+def parse_timestamp(c: Column, patterns: Sequence[str] = TIMESTAMP_LAYOUTS) -> Column:
     """Zone-free timestamp of a text in any of ``patterns``; ISO text is never day-swapped."""
     return F.coalesce(*[F.try_to_timestamp(c, F.lit(p)) for p in patterns]).cast("timestamp_ntz")
 

@@ -1,9 +1,4 @@
-"""Plan-size checks that decide between a compact and a fully distributed plan.
-
-Two decisions depend on how large an input is: whether one side of a join may be
-broadcast, and whether a whole input is small enough that even its largest group
-fits in one task. Both read Catalyst's own size estimate, which never runs a job.
-"""
+"""Stored intermediate tables, and whether one task may hold one of them."""
 
 from __future__ import annotations
 
@@ -12,26 +7,20 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Session setting holding the largest input (bytes) that one task may sort.
-SINGLE_TASK_KEY = "spark.tidemark.singleTaskBytes"
-SINGLE_TASK_DEFAULT = 64 * 1024 * 1024
-
-
-def plan_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of the optimized plan, in bytes."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+#: Session setting holding the most rows of a stored table that one task may sort.
+SINGLE_TASK_KEY = "spark.tidemark.singleTaskRows"
+SINGLE_TASK_DEFAULT = 100_000
 
+_TABLES: list[str] = []
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """True when the estimate is within the session's broadcast threshold."""
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return plan_bytes(df) <= limit
 
+def fits_one_task(stored: DataFrame) -> bool:
+    """True when a stored table, hence any group of it, is small enough for one task.
 
-def fits_one_task(df: DataFrame) -> bool:
-    """True when the whole input, hence any group of it, is small enough for one task."""
-    limit = int(df.sparkSession.conf.get(SINGLE_TASK_KEY, str(SINGLE_TASK_DEFAULT)))
-    return plan_bytes(df) <= limit
+    The rows are counted; of a table written by ``durable`` that reads file footers only.
+    """
+    limit = int(stored.sparkSession.conf.get(SINGLE_TASK_KEY, str(SINGLE_TASK_DEFAULT)))
+    return stored.count() <= limit
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -44,7 +33,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         return
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
-        if not sc.master.startswith("local"):
+        if not sc.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         shared = tempfile.mkdtemp(prefix="tidemark-")
     sc.setCheckpointDir(shared)
@@ -53,7 +42,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 def scratch_path(spark: SparkSession) -> str:
     """A new folder name below the shared checkpoint folder."""
     ensure_checkpoint_dir(spark)
-    return f"{spark.sparkContext.getCheckpointDir()}/{uuid4().hex}"
+    _TABLES.append(f"{spark.sparkContext.getCheckpointDir()}/{uuid4().hex}")
+    return _TABLES[-1]
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete the tables written so far; call it once the results that read them are written."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    conf = spark._jsc.hadoopConfiguration()
+    while _TABLES:
+        folder = path(_TABLES.pop())
+        folder.getFileSystem(conf).delete(folder, True)
 
 
 def durable(df: DataFrame) -> DataFrame:

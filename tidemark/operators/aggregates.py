@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.operators.skew import balanced_join
+from tidemark.operators.skew import balanced_join, running_total
 
 
 def total(col: str) -> Column:
@@ -88,13 +88,7 @@ def best_row(df: DataFrame, metric: str, largest: bool = True, tie: Sequence[str
 def leading_dates(
     df: DataFrame, date: str, n: int, by: Sequence[str] = ()
 ) -> tuple[DataFrame, DataFrame]:
-    """The first ``n`` distinct dates of each group, and the later ones.
-
-    Dates are few (one row per calendar day and group), so each group's sorted date
-    list is a small array.
-    """
-    days = df.where(F.col(date).isNotNull()).groupBy(*by, date).agg(F.count(F.lit(1)).alias("_n"))
-    ordered = days.groupBy(*by).agg(F.array_sort(F.collect_list(date)).alias("_d"))
-    first = ordered.select(*by, F.explode(F.slice("_d", 1, n)).alias(date))
-    rest = ordered.select(*by, F.explode(F.slice("_d", n + 1, F.lit(2**31 - 1))).alias(date))
-    return first, rest
+    """The first ``n`` distinct dates of each group, and the later ones."""
+    days = df.where(F.col(date).isNotNull()).select(*by, date).distinct()
+    placed = running_total(days, by, [date], name="_pos")
+    return placed.where(F.col("_pos") < n).drop("_pos"), placed.where(F.col("_pos") >= n).drop("_pos")

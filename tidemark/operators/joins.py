@@ -22,13 +22,13 @@ def assert_unique(df: DataFrame, key: Sequence[str]) -> DataFrame:
 
 
 def lookup(
-    fact: DataFrame, dim: DataFrame, key: str, value: str, counted: DataFrame | None = None
+    fact: DataFrame, dim: DataFrame, key: str, value: str
 ) -> DataFrame:
     """Append ``value`` from a unique-key table; unmatched rows get a missing value."""
     if key not in fact.columns or key not in dim.columns:
         return fact
     unique = assert_unique(dim.select(key, value), [key])
-    return balanced_join(fact, unique, [key], "left", counted=counted)
+    return balanced_join(fact, unique, [key], "left")
 
 
 def common_key(fact: DataFrame, dim: DataFrame, candidates: Sequence[str]) -> str | None:
@@ -41,7 +41,6 @@ def join_on_id(
     right: DataFrame,
     key: str,
     suffixes: tuple[str, str] = ("_cust", "_trans"),
-    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Inner join of ``right`` facts to ``left`` on one key; other shared names get suffixes."""
     clash = (set(left.columns) & set(right.columns)) - {key}
@@ -51,7 +50,7 @@ def join_on_id(
 
     facts = tagged(right, suffixes[1])
     dims = tagged(left, suffixes[0])
-    joined = balanced_join(facts, dims, [key], counted=counted)
+    joined = balanced_join(facts, dims, [key])
     return joined.select(
         key,
         *[c for c in dims.columns if c != key],
@@ -77,8 +76,12 @@ def hour_spine(df: DataFrame, ts: str, by: Sequence[str]) -> DataFrame:
     """Every full hour between the first and last timestamp of each group."""
     first, last = (F.date_trunc("hour", f(ts)).cast("timestamp_ntz") for f in (F.min, F.max))
     spans = df.groupBy(*by).agg(first.alias("_a"), last.alias("_b"))
-    step = F.expr("INTERVAL 1 HOUR")
-    return spans.select(*by, F.explode(F.sequence("_a", "_b", step)).alias("hour_start"))
+    # days first, then their 24 hours: a long span is never one array of hours
+    day = F.explode(F.sequence(F.to_date("_a"), F.to_date("_b"), F.expr("INTERVAL 1 DAY"))).alias("_d")
+    hour = F.explode(F.sequence(F.lit(0), F.lit(23))).alias("_h")
+    at = F.col("_d").cast("timestamp_ntz") + F.make_dt_interval(hours=F.col("_h"))
+    hours = spans.select(*by, "_a", "_b", day).select(*by, "_a", "_b", "_d", hour)
+    return hours.withColumn("hour_start", at).where("hour_start BETWEEN _a AND _b").select(*by, "hour_start")
 
 
 def keep_matching(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:

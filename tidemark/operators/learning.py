@@ -16,7 +16,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.util import inheritable_thread_target
 
-from tidemark.functions.sizing import durable, ensure_checkpoint_dir, fits_one_task
+from tidemark.functions.sizing import durable, ensure_checkpoint_dir
 from tidemark.operators.monitoring import classification_metrics, regression_metrics, roc_auc
 
 # Seed, tree counts and depths, rounds, iterations, penalties, hidden layers.
@@ -30,7 +30,8 @@ NETWORK_ITERATIONS, HIDDEN_LAYERS = 300, (128, 64)
 RIDGE_ALPHA = 1.0
 FOLDS = 5
 PARALLEL_FITS = 8
-ROWS_PER_TASK = 5000
+#: Rows of a training task, and the most tasks (beyond that their rows grow).
+ROWS_PER_TASK, MOST_TASKS = 5000, 10_000
 
 
 @dataclass(frozen=True)
@@ -163,10 +164,15 @@ def fit(
         stages += scaling_stages(facts.rows, facts.features, first, "features")
     stages.append(model.build(facts))
     data = train.select(*features, F.col(label).cast("double").alias("label"))
-    if fits_one_task(data):  # its file splits say little about the work per row
-        cores = train.sparkSession.sparkContext.defaultParallelism
-        data = data.repartition(min(cores, facts.rows // ROWS_PER_TASK + 1))
-    return Pipeline(stages=stages).fit(data)
+    return Pipeline(stages=stages).fit(laid_out(data, facts.rows))
+
+
+def laid_out(data: DataFrame, rows: int) -> DataFrame:
+    """The rows dealt out by a hash of their cells, sorted: samples that an estimator draws by
+    partition are then the same whatever the cores, files or plan the rows came from. The
+    number of partitions depends on the number of rows alone."""
+    parts = min(rows // ROWS_PER_TASK + 1, MOST_TASKS)
+    return data.repartition(parts, *data.columns).sortWithinPartitions(*data.columns)
 
 
 def feature_names(fitted: PipelineModel) -> list[str]:
@@ -304,7 +310,7 @@ def classification_leaderboard(
     train, test = _stored(train, test, features, label)
     whole = _fit_all(train, models, features, label, parallelism)
     folds = fit_folds(train, models, features, label, parallelism=parallelism)
-    scored = _score_test(whole, test, score)
+    scored = durable(_score_test(whole, test, score).select("model", label, "prediction", "score"))
     metrics = classification_metrics(scored, ["model"], label=label)
     auc = roc_auc(scored, ["model"], label=label)
     per_fold = roc_auc(score_folds(folds, train, score), ["model", "fold"], label=label)

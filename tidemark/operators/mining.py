@@ -12,7 +12,6 @@ from tidemark.operators.ordering import quantiles
 
 # Thresholds of the reported rules, level names.
 MIN_SUPPORT, MIN_CONFIDENCE, MIN_LIFT = 0.1, 0.3, 1.2
-MAX_ITEMS = 4
 LEVELS = ("Low", "Mid", "High")
 
 
@@ -62,13 +61,15 @@ def _combinations(items: Column, size: int) -> Column:
 
 
 def frequent_itemsets(
-    baskets: DataFrame, min_support: float = MIN_SUPPORT, max_items: int = MAX_ITEMS
+    baskets: DataFrame, min_support: float = MIN_SUPPORT, max_items: int | None = None
 ) -> DataFrame:
-    """Itemsets of up to ``max_items`` items held by at least ``min_support`` of the rows.
+    """Itemsets held by at least ``min_support`` of the rows, of any size (or ``max_items``).
 
     ``baskets`` has sorted ``items`` and a row count ``n``. Items that are rare on their
-    own are removed first; there are at most basket length / min_support others. The
-    baskets are stored first, because they are read three times.
+    own are removed first; there are at most basket length / min_support others. Every subset
+    of the rest of a basket is counted, which suits baskets of a few items, such as one for
+    each column; ``grown_itemsets`` suits long ones. The baskets are stored first, because they
+    are read several times.
     """
     baskets = durable(baskets)
     total = baskets.agg(F.sum("n")).scalar()
@@ -81,7 +82,9 @@ def frequent_itemsets(
         .groupBy("items")
         .agg(F.sum("n").alias("n"))
     )
-    subsets = F.concat(*[_combinations(F.col("items"), k) for k in range(1, max_items + 1)])
+    longest = reduced.agg(F.max(F.size("items"))).first()[0] or 0
+    sizes = range(1, min(longest, max_items or longest) + 1)
+    subsets = F.concat(*[_combinations(F.col("items"), k) for k in sizes or (1,)])
     counted = reduced.select(F.explode(subsets).alias("items"), "n").groupBy("items")
     return (
         counted.agg(F.sum("n").alias("freq"))
@@ -91,12 +94,14 @@ def frequent_itemsets(
 
 
 def grown_itemsets(
-    df: DataFrame, items: str = "items", min_support: float = MIN_SUPPORT, max_items: int = MAX_ITEMS
+    df: DataFrame, items: str = "items", min_support: float = MIN_SUPPORT, max_items: int | None = None
 ) -> DataFrame:
     """The same itemsets by parallel FP-growth, for baskets of any length and variety."""
     grown = FPGrowth(itemsCol=items, minSupport=min_support).fit(df.select(items)).freqItemsets
     total = df.agg(F.count(F.lit(1))).scalar()
-    return grown.where(F.size("items") <= max_items).select(
+    if max_items is not None:
+        grown = grown.where(F.size("items") <= max_items)
+    return grown.select(
         F.array_sort("items").alias("items"), "freq", (F.col("freq") / total).alias("support")
     )
 
@@ -105,7 +110,6 @@ def association_rules(
     itemsets: DataFrame,
     min_confidence: float = MIN_CONFIDENCE,
     min_lift: float = MIN_LIFT,
-    max_items: int = MAX_ITEMS,
 ) -> DataFrame:
     """Rules between disjoint parts of every frequent itemset, multi-item on both sides.
 
@@ -113,8 +117,8 @@ def association_rules(
     the (stored) itemsets back. A rule that always holds has no conviction.
     """
     itemsets = durable(itemsets)
-    sizes = range(1, max_items)
-    part = F.concat(*[_combinations(F.col("items"), k) for k in sizes])
+    longest = itemsets.agg(F.max(F.size("items"))).first()[0] or 0
+    part = F.concat(*[_combinations(F.col("items"), k) for k in range(1, max(longest, 2))])
     split = (
         itemsets.where(F.size("items") >= 2)
         .select("items", "support", F.explode(part).alias("antecedent"))

@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.functions.sizing import fits_one_task
 from tidemark.operators.skew import balanced_join, running_total
 
 
@@ -45,19 +44,13 @@ def top_rows(df: DataFrame, n: int, order: Sequence[Column]) -> DataFrame:
 def average_rank(df: DataFrame, value: str, by: Sequence[str] = (), name: str = "rank") -> DataFrame:
     """Append the 1-based rank of ``value`` within ``by``; ties share their mean rank.
 
-    Rows with a missing value are left out. Ranks are computed on the distinct values and joined
-    back, so repeated values cost one row each.
+    Rows with a missing value are left out; rows with a missing group key are a group. Ranks are
+    computed on the distinct values and joined back, so repeated values cost one row each.
     """
     by = list(by)
     known = df.where(F.col(value).isNotNull())
-    if fits_one_task(df):
-        tied = W.partitionBy(*by, value)
-        ranked = F.rank().over(W.partitionBy(*by).orderBy(value))
-        return known.withColumn(
-            name, ranked + (F.count(F.lit(1)).over(tied) - 1) / F.lit(2.0)
-        )
     ranks = distinct_ranks(known, value, by, name)
-    return balanced_join(known, ranks, [*by, value], "left")
+    return balanced_join(known, ranks, [*by, value], "left", null_safe=True)
 
 
 def distinct_ranks(df: DataFrame, value: str, by: Sequence[str], name: str = "rank") -> DataFrame:
@@ -77,27 +70,12 @@ def quantiles(
     ``probs`` maps output names to probabilities in [0, 1]; missing values and, as in
     any grouped summary here, missing group keys are ignored.
 
-    Small inputs use the built-in exact aggregate, which holds a group's distinct
-    values in one task. Larger ones count the distinct values, find each one's
-    position by a distributed running total and read off the two order statistics
-    around every requested position.
+    The distinct values are counted, each one's position is found by a distributed running
+    total, and the two order statistics around every requested position are read off.
     """
     by, cols = list(by), list(cols)
     present = df.na.drop(subset=by) if by else df
     names = list(probs)
-    if fits_one_task(df):
-        wide = present.groupBy(*by).agg(
-            *[F.percentile(c, [float(probs[n]) for n in names]).alias(c) for c in cols]
-        )
-        arrays = wide.select(
-            *by,
-            F.explode(
-                F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("q")) for c in cols])
-            ).alias("_s"),
-        )
-        return arrays.select(
-            *by, "_s.column", *[F.col("_s.q")[i].alias(n) for i, n in enumerate(names)]
-        )
     long = present.select(
         *by,
         F.explode(

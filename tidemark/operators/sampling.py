@@ -10,6 +10,10 @@ from tidemark.functions.scalars import hash_order
 from tidemark.operators.skew import balanced_join, running_total
 
 
+#: Hex digits of a hash that a long holds.
+HASH_DIGITS = 15
+
+
 def sample_rows(df: DataFrame, n: int, key: Sequence[str], seed: int = 42) -> DataFrame:
     """``n`` pseudo-random rows, the same ones on every run and cluster."""
     mark = hash_order([F.col(k) for k in key], seed)
@@ -23,26 +27,32 @@ def sample_per_group(
 
     Each group's smallest hashes bound the sample: counting rows by hash prefix first
     finds how much of the hash range holds ``n`` rows, so that only little more than
-    the sample itself is ordered, whatever the group's size.
+    the sample itself is ordered, whatever the group's size. The prefix grows with the
+    largest group: a cell holds about ``n`` of its rows.
     """
     by = list(by)
     marked = df.withColumn("_mark", hash_order([F.col(k) for k in key], seed))
-    cells = marked.groupBy(*by, F.substring("_mark", 1, 3).alias("_cell")).agg(
+    most = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 1
+    digits = max(1, min(HASH_DIGITS, len(f"{most // max(1, n):x}")))
+    cells = marked.groupBy(*by, F.substring("_mark", 1, digits).alias("_cell")).agg(
         F.count(F.lit(1)).alias("_n")
     )
     before = running_total(cells, by, ["_cell"], "_n", "_below")
     limit = before.where(F.col("_below") < n).groupBy(*by).agg(F.max("_cell").alias("_last"))
-    joined = balanced_join(marked, limit, by, spread=list(key))
-    near = joined.where(F.substring("_mark", 1, 3) <= F.col("_last"))
+    joined = balanced_join(marked, limit, by, null_safe=True)
+    near = joined.where(F.substring("_mark", 1, digits) <= F.col("_last"))
     placed = running_total(near.drop("_last"), by, ["_mark", *key], name="_pos")
     return placed.where(F.col("_pos") < n).drop("_pos", "_mark")
 
 
 def is_test_row(key: Sequence[Column], share: float = 0.2) -> Column:
-    """True for about ``share`` of all rows, decided by two hex digits of the key's hash."""
-    bound = f"{round(share * 256):02x}"
+    """True for about ``share`` (between 0 and 1) of all rows, decided by the key's hash: its
+    first 15 hex digits, read as a number, are below that share of their range."""
+    if not 0 < share < 1:
+        raise ValueError(f"share must be between 0 and 1: {share}")
     digest = F.md5(F.concat_ws("|", *[k.cast("string") for k in key]))
-    return F.substring(digest, 1, 2) < bound
+    number = F.conv(F.substring(digest, 1, HASH_DIGITS), 16, 10).cast("long")
+    return number < F.lit(int(share * 16**HASH_DIGITS))
 
 
 def split_rows(df: DataFrame, key: Sequence[str], share: float = 0.2) -> tuple[DataFrame, DataFrame]:

@@ -7,64 +7,31 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from tidemark.functions.sizing import durable, fits_broadcast, fits_one_task
-
-#: A key is hot when it holds more than 1/HOT_SHARE of the rows; there are at most
-#: HOT_SHARE such keys, which is what makes their list safe to broadcast.
-HOT_SHARE = 1000
-SALTS = 64
-
-
-def hot_keys(df: DataFrame, on: Sequence[str], share: int = HOT_SHARE) -> DataFrame:
-    """The (at most ``share``) key combinations holding more than 1/share of all rows."""
-    counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n")).scalar()
-    return counts.where(F.col("_n") * share > total).select(*on)
+from tidemark.functions.sizing import durable, fits_one_task
 
 
 def balanced_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[str],
-    how: str = "inner",
-    spread: Sequence[str] | None = None,
-    counted: DataFrame | None = None,
-    salts: int = SALTS,
+    left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner", null_safe: bool = False
 ) -> DataFrame:
     """Equi-join of a large ``left`` with ``right`` (``how``: inner, left, left_semi).
 
-    A right side within the broadcast threshold is broadcast. Otherwise the keys of
-    ``left`` are counted first. Without hot keys this is a plain shuffle join; with some,
-    only their rows are spread over ``salts`` tasks: their right-hand rows are copied
-    once per salt, all other rows move once.
-
-    ``spread`` names left columns that tell its rows apart (default: all of them).
-    ``counted`` is a table to count the keys in when ``left`` is costly to evaluate, such
-    as the fact table a chain of lookups started from.
+    A plain join: when Spark re-plans it by the sizes of the shuffled partitions (adaptive
+    execution, on by default), it splits partitions that a hot key makes large, of the left
+    side for every ``how`` and of both sides for an inner join, and broadcasts a side that
+    turned out small. No key is counted before and nothing is hinted from an estimate. With
+    ``null_safe`` missing keys match each other.
     """
     if how not in ("inner", "left", "left_semi"):
         raise ValueError(f"unsupported join type: {how}")
     on = list(on)
-    if fits_broadcast(right):
-        return left.join(F.broadcast(right), on, how)
-    keys = hot_keys(left if counted is None else counted, on)
-    rows = keys.collect()  # at most HOT_SHARE
-    if not rows:
+    if not null_safe:
         return left.join(right, on, how)
-    spark = left.sparkSession
-    hot = F.broadcast(spark.createDataFrame(rows, keys.schema).withColumn("_hot", F.lit(True)))
-    pick = F.pmod(F.xxhash64(*(spread or left.columns)), F.lit(salts)).cast("int")
-    every = F.sequence(F.lit(0), F.lit(salts - 1))
-    # Rows with a missing key match nothing, so they may go anywhere.
-    adrift = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
-    salted_left = left.join(hot, on, "left").withColumn(
-        "_salt", F.when(F.col("_hot") | adrift, pick).otherwise(0)
-    )
-    salted_right = right.join(hot, on, "left").withColumn(
-        "_salt", F.explode(F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0))))
-    )
-    joined = salted_left.drop("_hot").join(salted_right.drop("_hot"), [*on, "_salt"], how)
-    return joined.drop("_salt")
+    # a struct around a missing value is itself not missing, and equal to another such struct
+    keys = [f"_k{i}" for i in range(len(on))]
+    tagged = left.withColumns({k: F.struct(F.col(c).alias("v")) for k, c in zip(keys, on)})
+    other = right.select(*[F.struct(F.col(c).alias("v")).alias(k) for k, c in zip(keys, on)],
+                         *[c for c in right.columns if c not in on])
+    return tagged.join(other, keys, how).drop(*keys)
 
 
 def _same(a: str, b: str, cols: Sequence[str]) -> Column:
@@ -83,22 +50,19 @@ def running_total(
     """Append the sum of ``weight`` (default: the number of rows) over all earlier rows
     of the same ``by`` group; ``by + order`` must identify a row.
 
-    Small inputs use a plain window. Larger ones are range-partitioned on the full
-    key, so a group of any size is spread over many tasks: each task numbers its own
-    slice, and the totals of the slices before it (one row per group and task) are
-    added. The partitioned rows are materialised first because both steps must see
-    the same slice boundaries.
+    The rows are range-partitioned on the full key and stored, so a group of any size is
+    spread over many slices: each is numbered on its own, and the totals of the slices
+    before it (one row per group and slice) are added. A stored table of few rows, which is
+    known by then, is numbered by a plain window instead, with the same result.
     """
     by, order = list(by), list(order)
     amount = F.col(weight) if weight else F.lit(1).cast("long")
     zero = F.lit(0).cast("long")
-    plain = W.partitionBy(*by).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
-    if fits_one_task(df):
-        return df.withColumn(name, F.coalesce(F.sum(amount).over(plain), zero))
     sliced = durable(
         df.repartitionByRange(*by, *order).withColumn("_slice", F.spark_partition_id())
     )
-    if fits_one_task(sliced):  # smaller than the estimate
+    if fits_one_task(sliced):
+        plain = W.partitionBy(*by).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
         return sliced.drop("_slice").withColumn(name, F.coalesce(F.sum(amount).over(plain), zero))
     earlier = W.partitionBy(*by).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
     offsets = (

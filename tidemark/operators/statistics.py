@@ -8,8 +8,8 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.scalars import pair_label
-from tidemark.functions.sizing import durable, fits_one_task
-from tidemark.operators.ordering import average_rank, distinct_ranks, quantiles
+from tidemark.functions.sizing import durable
+from tidemark.operators.ordering import distinct_ranks, quantiles
 from tidemark.operators.skew import balanced_join, running_total
 
 #: A higher polynomial degree must raise R² by more than this over the degree below.
@@ -52,14 +52,7 @@ def spearman(
     by = list(by)
     if complete:
         ranked = df.select(*by, *[F.col(c).cast("double").alias(c) for c in cols])
-        if fits_one_task(ranked):
-            for c in cols:
-                ranked = average_rank(ranked, c, by, f"_r_{c}")
-        else:
-            return pearson(_ranked_rows(ranked, cols, by), cols, by).withColumnRenamed(
-                "pearson", "spearman"
-            )
-        ranks = ranked.select(*by, *[F.col(f"_r_{c}").alias(c) for c in cols])
+        ranks = _ranked_rows(ranked, cols, by)
         return pearson(ranks, cols, by).withColumnRenamed("pearson", "spearman")
     entries = [
         F.struct(
@@ -104,7 +97,7 @@ def _ranked_rows(df: DataFrame, cols: Sequence[str], by: Sequence[str]) -> DataF
     cells = [F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in cols]
     long = stored.select("_row", *by, F.inline(F.array(*cells)))
     ranks = distinct_ranks(long, "value", [*by, "column"])
-    placed = balanced_join(long, ranks, [*by, "column", "value"], spread=["_row"])
+    placed = balanced_join(long, ranks, [*by, "column", "value"], null_safe=True)
     return placed.groupBy("_row", *by).agg(
         *[F.max(F.when(F.col("column") == c, F.col("rank"))).alias(c) for c in cols]
     )
@@ -117,14 +110,17 @@ def _weighted_rank(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
     ranks = below.select(
         *by, value, (F.col("_below") + (F.col("_n") + 1) / F.lit(2.0)).alias(f"_r{value}")
     )
-    return balanced_join(df, ranks, [*by, value])
+    return balanced_join(df, ranks, [*by, value], null_safe=True)
 
 
 def best_correlation(pearsons: DataFrame, spearmans: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Per cell the rank correlation (``S``) where its size is strictly larger, else ``P``."""
+    """Per cell the rank correlation (``S``) where its size is strictly larger, else ``P``.
+
+    Groups with a missing key are kept.
+    """
     keys = [*by, "row", "col"]
     rank_wins = F.coalesce(F.abs("spearman") > F.abs("pearson"), F.lit(False))
-    return pearsons.join(spearmans, keys).select(
+    return balanced_join(pearsons, spearmans, keys, null_safe=True).select(
         *keys,
         F.when(rank_wins, F.col("spearman")).otherwise(F.col("pearson")).alias("corr"),
         F.when(rank_wins, "S").otherwise("P").alias("method"),
@@ -172,13 +168,13 @@ def best_degree(
     A degree is taken when its R² exceeds that of the degree directly below by more
     than ``DEGREE_GAIN``; degree 0 is the mean with R² 0. One grouped pass serves all
     pairs: the central moments it returns are all the normal equations need. Values are
-    first shifted by the mean of a few rows, which keeps the moments accurate when a
+    first shifted by the mean of all rows, which keeps the moments accurate when a
     column lies far from zero; the fit itself does not depend on the shift.
     """
     by = list(by)
     used = sorted({c for pair in pairs for c in pair})
     numeric = df.select(*by, *[F.col(c).cast("double").alias(c) for c in used])
-    origin = numeric.select(*used).limit(1000).agg(
+    origin = numeric.select(*used).agg(
         F.struct(*[F.coalesce(F.avg(c), F.lit(0.0)).alias(c) for c in used]).alias("o")
     ).scalar()
     entries = [

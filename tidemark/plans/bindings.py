@@ -1,8 +1,9 @@
 """The workload's tables expressed over the available star-schema tables.
 
 No telemetry, customer or machine files exist here, so each is a projection of a
-given table: every row of the source is used, derived columns are plain arithmetic,
-and missing or repeated cells are created by rule. ``*_SQL`` constants state the same
+given table: derived columns are plain arithmetic, and missing or repeated cells are
+created by rule. Every row of the source is used, but where a flow itself is given one
+of two systems (customers) or an hour without a reading (weather). ``*_SQL`` constants state the same
 definitions for the SQL engine the queries are checked with.
 """
 
@@ -173,43 +174,49 @@ def padded(df: DataFrame) -> DataFrame:
 STORES_SQL = """stores AS (
   SELECT 'Store_' || CAST(s_suppkey AS VARCHAR) AS StoreID,
     CASE WHEN s_nationkey % 2 = 0 THEN 'Online Store' ELSE 'Onsite Store' END AS StoreType
-  FROM supplier WHERE s_suppkey % 7 <> 3),
-prices AS (SELECT p_partkey AS ProductNr, p_retailprice AS Price FROM part WHERE p_partkey % 11 <> 5)"""
+  FROM supplier),
+prices AS (SELECT p_partkey AS ProductNr, p_retailprice AS Price FROM part)"""
 
 STORE_TYPES = ("Online Store", "Onsite Store")
 
 
 def stores(spark: SparkSession, sf: str) -> DataFrame:
     kind = F.when(F.col("s_nationkey") % 2 == 0, STORE_TYPES[0]).otherwise(STORE_TYPES[1])
-    return table(spark, sf, "supplier").where(F.col("s_suppkey") % 7 != 3).select(
+    return table(spark, sf, "supplier").select(
         F.concat(F.lit("Store_"), F.col("s_suppkey").cast("string")).alias("StoreID"),
         kind.alias("StoreType"),
     )
 
 
 def prices(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "part").where(F.col("p_partkey") % 11 != 5).select(
+    return table(spark, sf, "part").select(
         F.col("p_partkey").alias("ProductNr"), F.col("p_retailprice").alias("Price")
     )
 
 
 TRANSACTIONS_SQL = """transactions AS (
-  SELECT l_orderkey AS OrderNumber, l_partkey AS ProductNr, l_linenumber AS LineNumber,
-    CAST(o_custkey AS VARCHAR) AS CustomerID, 'Store_' || CAST(l_suppkey AS VARCHAR) AS StoreID,
+  SELECT l_orderkey AS OrderNumber, CASE WHEN l_orderkey % 11 = 5 THEN -l_partkey ELSE l_partkey END AS ProductNr,
+    l_linenumber AS LineNumber, CAST(o_custkey AS VARCHAR) AS CustomerID,
+    'Store_' || CASE WHEN l_orderkey % 7 = 3 THEN 'X' ELSE '' END || CAST(l_suppkey AS VARCHAR) AS StoreID,
     l_shipdate AS ShipDate, l_quantity AS Quantity
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 
 
 def transactions(spark: SparkSession, sf: str) -> DataFrame:
+    """One row per order line; some orders name a store or product that is in no list."""
     lines = table(spark, sf, "lineitem")
     orders = table(spark, sf, "orders")
     joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
     return joined.select(
         F.col("l_orderkey").alias("OrderNumber"),
-        F.col("l_partkey").alias("ProductNr"),
+        F.when(F.col("l_orderkey") % 11 == 5, -F.col("l_partkey")).otherwise(F.col("l_partkey")).alias("ProductNr"),
         F.col("l_linenumber").alias("LineNumber"),
         F.col("o_custkey").cast("string").alias("CustomerID"),
-        F.concat(F.lit("Store_"), F.col("l_suppkey").cast("string")).alias("StoreID"),
+        F.concat(
+            F.lit("Store_"),
+            F.when(F.col("l_orderkey") % 7 == 3, "X").otherwise(""),
+            F.col("l_suppkey").cast("string"),
+        ).alias("StoreID"),
         F.col("l_shipdate").alias("ShipDate"),
         F.col("l_quantity").alias("Quantity"),
     )
@@ -217,6 +224,7 @@ def transactions(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- machines ---------------------------------------------------------------------
 
+# The names of the sensors and of the features of the machine models.
 SENSORS = (
     "temperature_C",
     "pressure_bar",
@@ -248,8 +256,8 @@ MACHINES_SQL = """machines AS (
     500 + l_extendedprice / 1000 AS temperature_C,
     150 + l_quantity / 5 + CAST(l_partkey % 17 AS DOUBLE) AS pressure_bar,
     0.1 + l_discount * 100 + CAST(l_orderkey % 11 AS DOUBLE) / 10 AS vibration_mms,
-    60 + l_tax * 500 + CAST(l_partkey * 37 % 8760 AS DOUBLE) / 876 AS oil_temp_C,
-    98 - l_discount * 100 - CAST(l_partkey * 37 % 8760 AS DOUBLE) / 1095 AS efficiency_pct
+    62 + l_tax * 400 + CAST(l_suppkey % 19 AS DOUBLE) AS oil_temp_C,
+    97 - l_discount * 90 - CAST(l_suppkey % 13 AS DOUBLE) / 2 AS efficiency_pct
   FROM lineitem)"""
 
 
@@ -270,8 +278,8 @@ def machines(spark: SparkSession, sf: str) -> DataFrame:
         (500 + F.col("l_extendedprice") / 1000).alias("temperature_C"),
         (150 + F.col("l_quantity") / 5 + (part % 17).cast("double")).alias("pressure_bar"),
         (0.1 + F.col("l_discount") * 100 + (order % 11).cast("double") / 10).alias("vibration_mms"),
-        (60 + F.col("l_tax") * 500 + hours / 876).alias("oil_temp_C"),
-        (98 - F.col("l_discount") * 100 - hours / 1095).alias("efficiency_pct"),
+        (62 + F.col("l_tax") * 400 + (F.col("l_suppkey") % 19).cast("double")).alias("oil_temp_C"),
+        (97 - F.col("l_discount") * 90 - (F.col("l_suppkey") % 13).cast("double") / 2).alias("efficiency_pct"),
     )
 
 
@@ -280,14 +288,14 @@ MACHINE_KEY = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
 
 def _with_derived(readings: DataFrame, number: Column) -> DataFrame:
     """The remaining sensors, the risk score, the remaining days and the failure flag."""
-    hours, load = F.col("operating_hours"), F.col("load_pct")
+    load = F.col("load_pct")
     return with_targets(
         readings.withColumns(
             {
-                "rotation_speed_rpm": 3000 - hours / 109.5 + (number % 41).cast("double"),
-                "voltage_V": 11000 - hours / 29.2 + (number % 53).cast("double"),
-                "current_A": 500 + 2 * load + (number % 29).cast("double"),
-                "power_output_MW": 1.8 * load - hours / 438,
+                "rotation_speed_rpm": 1500 + F.col("pressure_bar") + (number % 41).cast("double"),
+                "voltage_V": 6000 + 3 * F.col("temperature_C") + (number % 53).cast("double"),
+                "current_A": 90 + F.col("oil_temp_C") / 2 + (number % 29).cast("double"),
+                "power_output_MW": load * F.col("efficiency_pct") / 100,
             }
         )
     )

@@ -452,7 +452,7 @@ def l5_sample_per_plant(spark, sf):
 
 @query(
     "l6_split",
-    """SELECT event_id, CASE WHEN substr(md5(CAST(event_id AS VARCHAR)), 1, 2) < '33' THEN 'test' ELSE 'train' END AS part
+    """SELECT event_id, CASE WHEN CAST('0x' || substr(md5(CAST(event_id AS VARCHAR)), 1, 15) AS BIGINT) < 230584300921369408 THEN 'test' ELSE 'train' END AS part
       FROM events""",
 )
 def l6_split(spark, sf):

@@ -80,17 +80,21 @@ def x7_name_text(spark, sf):
 
 @query(
     "x8_parse_mixed",
-    """SELECT event_id, CASE WHEN event_id % 2 = 0 THEN date_trunc('second', ts)
-      ELSE date_trunc('minute', ts) END AS date_time FROM events""",
+    """SELECT event_id, CASE WHEN event_id % 7 = 6 THEN NULL WHEN event_id % 7 % 2 = 0 THEN date_trunc('second', ts)
+      ELSE date_trunc('minute', ts) END AS date_time,
+      (SELECT count(*) FROM events WHERE event_id % 7 = 6) AS n_unparsed FROM events""",
 )
 def x8_parse_mixed(spark, sf):
-    """Texts of two formats in one column: ISO with seconds, and day first with minutes."""
-    text = F.when(
-        F.col("event_id") % 2 == 0, F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
-    ).otherwise(F.date_format("ts", "dd-MM-yyyy HH:mm"))
-    return B.table(spark, sf, "events").select(
-        "event_id", X.parse_timestamp(text).alias("date_time")
-    )
+    """Texts of six layouts in one column, and some that are no timestamp, which are counted."""
+    layouts = ("yyyy-MM-dd HH:mm:ss", "dd-MM-yyyy HH:mm", "dd-MM-yyyy HH:mm:ss", "yyyy-MM-dd HH:mm",
+               "yyyy-MM-dd'T'HH:mm:ss", "dd/MM/yyyy HH:mm")
+    text = F.lit("about noon")
+    for i, layout in enumerate(layouts):
+        text = F.when(F.col("event_id") % 7 == i, F.date_format("ts", layout)).otherwise(text)
+    rows = B.table(spark, sf, "events").select("event_id", text.alias("text"))
+    parsed = rows.withColumn("date_time", X.parse_timestamp(F.col("text")))
+    unparsed = parsed.agg(X.unparsed_count(F.col("text"), F.col("date_time"))).scalar()
+    return parsed.select("event_id", "date_time", unparsed.alias("n_unparsed"))
 
 
 @query(

@@ -21,7 +21,8 @@ def _schema(ddl: str):
     [B.TELEMETRY_SQL],
 )
 def s1_csv_scan(spark, sf):
-    """Write delimited text in which some numbers read NaN, scan it with a declared schema."""
+    """Write delimited text in which some numbers read NaN, scan it with a declared schema
+    whose columns are in another order."""
     path = scratch_path(spark)
     rows = B.telemetry(spark, sf).select(
         "event_id",
@@ -32,7 +33,7 @@ def s1_csv_scan(spark, sf):
         .alias("ac_power"),
     )
     S.write_csv(rows, path)
-    ddl = "event_id long, date_time timestamp_ntz, event_type string, ac_power double"
+    ddl = "ac_power double, event_type string, event_id long, date_time timestamp_ntz"
     return S.read_csv(spark, path, _schema(ddl)).withColumn("ac_power", rd("ac_power", 2))
 
 

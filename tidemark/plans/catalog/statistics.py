@@ -131,24 +131,11 @@ def t8_grid(spark, sf):
     return round_all(S.trend_line(_trend(spark, sf), 100, ["plant"]))
 
 
-TREND_PAIRS = (
-    ("irradiation", "ac_power"),
-    ("module_temperature", "ac_power"),
-    ("ambient_temperature", "ac_power"),
-    ("module_temperature", "irradiation"),
-    ("time_slot", "ac_power"),
-    ("ambient_temperature", "module_temperature"),
-    ("irradiation", "daily_yield"),
-    ("time_slot", "daily_yield"),
-    ("ambient_temperature", "daily_yield"),
-)
-
-
 def _fits_sql(source: str, by: str) -> str:
     """Degree fits of every pair by solving for the part of z² orthogonal to 1 and z."""
     points = " UNION ALL ".join(
         f"SELECT {by}, '{x}' AS x_name, '{y}' AS y_name, CAST({x} AS DOUBLE) AS x, CAST({y} AS DOUBLE) AS y FROM {source}"
-        for x, y in TREND_PAIRS
+        for x, y in eda.TREND_PAIRS
     )
     return f"""points AS ({points}),
     std AS (SELECT {by}, x_name, y_name, x, y, avg(x) OVER w AS mx, stddev_pop(x) OVER w AS sx, avg(y) OVER w AS my
@@ -168,7 +155,7 @@ DEGREE_SELECT = f"""SELECT plant, x_name || ' -> ' || y_name AS pair, CAST(best_
 
 @query("t7_best_degree", DEGREE_SELECT, [B.TELEMETRY_SQL, _fits_sql("daytime", "plant")])
 def t7_best_degree(spark, sf):
-    fits = S.best_degree(B.daytime(spark, sf), TREND_PAIRS, ["plant"])
+    fits = S.best_degree(B.daytime(spark, sf), eda.TREND_PAIRS, ["plant"])
     return round_all(fits.select("plant", "pair", "best_degree", "r2"))
 
 
@@ -182,7 +169,7 @@ def t7_best_degree(spark, sf):
 )
 def t7_curve(spark, sf):
     """The chosen curves on a 300-point grid."""
-    fits = S.best_degree(B.daytime(spark, sf), TREND_PAIRS, ["plant"])
+    fits = S.best_degree(B.daytime(spark, sf), eda.TREND_PAIRS, ["plant"])
     return round_all(S.degree_curve(fits, 300, ["plant"]), 3)
 
 
@@ -245,20 +232,20 @@ SAMPLE_SQL = f"""sample AS (SELECT * FROM daytime
     "t11_pairs",
     " UNION ALL ".join(
         f"""SELECT plant, event_id, '{x} -> {y}' AS pair, CAST({x} AS DOUBLE) AS x, {r(y)} AS y FROM sample"""
-        for x, y in TREND_PAIRS
+        for x, y in eda.TREND_PAIRS
     ),
     [B.TELEMETRY_SQL, SAMPLE_SQL],
 )
 def t11_pairs(spark, sf):
     """Points of the pair charts (sampling operator: 3,000 rows of each plant)."""
-    points = eda.pair_report(B.daytime(spark, sf), TREND_PAIRS, ["event_id"], ["plant"])["points"]
+    points = eda.pair_report(B.daytime(spark, sf), eda.TREND_PAIRS, ["event_id"], ["plant"])["points"]
     return points.withColumn("y", rd("y"))
 
 
 @query("t11_sample_trends", DEGREE_SELECT, [B.TELEMETRY_SQL, SAMPLE_SQL, _fits_sql("sample", "plant")])
 def t11_sample_trends(spark, sf):
     """Chosen trend of every pair chart, fitted on its sample."""
-    fits = eda.pair_report(B.daytime(spark, sf), TREND_PAIRS, ["event_id"], ["plant"])["trends"]
+    fits = eda.pair_report(B.daytime(spark, sf), eda.TREND_PAIRS, ["event_id"], ["plant"])["trends"]
     return round_all(fits.select("plant", "pair", "best_degree", "r2"))
 
 
@@ -267,12 +254,12 @@ def t11_sample_trends(spark, sf):
     " UNION ALL ".join(
         f"""SELECT plant, '{c}' AS "column", {r(f'quantile_cont({c}, 0.01)')} AS low,
         {r(f'quantile_cont({c}, 0.99)')} AS high FROM daytime GROUP BY 1"""
-        for c in sorted({c for pair in TREND_PAIRS for c in pair})
+        for c in sorted({c for pair in eda.TREND_PAIRS for c in pair})
     ),
     TELEMETRY,
 )
 def t11_axis_limits(spark, sf):
-    limits = eda.pair_report(B.daytime(spark, sf), TREND_PAIRS, ["event_id"], ["plant"])["limits"]
+    limits = eda.pair_report(B.daytime(spark, sf), eda.TREND_PAIRS, ["event_id"], ["plant"])["limits"]
     return round_all(limits)
 
 

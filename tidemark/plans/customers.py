@@ -48,12 +48,12 @@ def enrich(transactions: DataFrame, stores: DataFrame, prices: DataFrame) -> Dat
     """Append the store type and the product price; unmatched rows keep a missing value."""
     out = J.lookup(transactions, stores, "StoreID", "StoreType")
     key = J.common_key(out, prices, PRODUCT_KEYS)
-    return J.lookup(out, prices, key, PRICE, counted=transactions) if key else out
+    return J.lookup(out, prices, key, PRICE) if key else out
 
 
-def merge(customers: DataFrame, enriched: DataFrame, transactions: DataFrame | None = None) -> DataFrame:
-    """Join by customer; ``transactions`` are the rows before the lookups, if at hand."""
-    return J.join_on_id(customers, enriched, CUSTOMER, counted=transactions)
+def merge(customers: DataFrame, enriched: DataFrame) -> DataFrame:
+    """Join by customer."""
+    return J.join_on_id(customers, enriched, CUSTOMER)
 
 
 def total_per_customer(merged: DataFrame) -> DataFrame:
@@ -114,7 +114,8 @@ def run(
     second = transform(clean(system2, [order]))
     customers = J.stack_tables(first, second)
     enriched = enrich(transactions, stores, prices)
-    write_parquet(merge(customers, enriched, transactions), f"{out}/merged")
+    write_parquet(merge(customers, enriched), f"{out}/merged")
+    write_csv(enriched, f"{out}/enriched_transactions")
     merged = spark.read.parquet(f"{out}/merged")
     summary = per_customer(merged)
     lines, medians = parallel_frame(summary)

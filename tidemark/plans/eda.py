@@ -9,6 +9,18 @@ from pyspark.sql import DataFrame
 from tidemark.operators import sampling as L, statistics as S
 
 SAMPLE_SIZE = 3000
+# The pairs of the trend charts.
+TREND_PAIRS = (
+    ("irradiation", "ac_power"),
+    ("module_temperature", "ac_power"),
+    ("ambient_temperature", "ac_power"),
+    ("module_temperature", "irradiation"),
+    ("time_slot", "ac_power"),
+    ("ambient_temperature", "module_temperature"),
+    ("irradiation", "daily_yield"),
+    ("time_slot", "irradiation"),
+    ("ambient_temperature", "daily_yield"),
+)
 
 
 def correlations(day: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:

@@ -19,10 +19,23 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_csv(spark: SparkSession, path: str | list[str], schema: StructType) -> DataFrame:
-    """Delimited text with a header, quoted cells and a declared schema."""
-    raw = spark.read.schema(schema).option("header", True).option("nanValue", "NaN").csv(path)
-    text = [f.name for f in schema if isinstance(f.dataType, StringType)]
-    return markers_to_null(nan_to_null(raw), MISSING_MARKERS, text)
+    """Delimited text with a header, quoted cells and a declared schema.
+
+    Columns are found by their names in the header, in any order; further ones are left out.
+    A declared column that the header lacks is an error, and so is a file of the set whose
+    header differs from the first one's. A cell that does not parse is missing.
+    """
+    return _typed(_text_table(spark, path), schema)
+
+
+def _text_table(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    return spark.read.option("header", True).option("enforceSchema", False).csv(path)
+
+
+def _typed(raw: DataFrame, schema: StructType, *extra: Column) -> DataFrame:
+    cells = markers_to_null(raw.select(*[F.col(f"`{f.name}`") for f in schema], *extra), MISSING_MARKERS, schema.names)
+    typed = {f.name: F.col(f.name).try_cast(f.dataType) for f in schema if not isinstance(f.dataType, StringType)}
+    return nan_to_null(cells.withColumns(typed) if typed else cells)
 
 
 def read_per_entity(
@@ -34,11 +47,8 @@ def read_per_entity(
     The entity number is taken from the file or folder name, so that per-entity work
     becomes a grouping column and not a loop over files.
     """
-    raw = spark.read.schema(schema).option("header", True).csv(pattern)
     found = F.regexp_extract(F.col("_metadata.file_path"), number, 1)
-    tagged = raw.select("*", found.cast("int").alias(entity))
-    text = [f.name for f in schema if isinstance(f.dataType, StringType)]
-    return markers_to_null(nan_to_null(tagged), MISSING_MARKERS, text)
+    return _typed(_text_table(spark, pattern), schema, found.cast("int").alias(entity))
 
 
 def read_sql(spark: SparkSession, query: str, views: dict[str, DataFrame]) -> DataFrame:
@@ -55,8 +65,9 @@ def read_database(spark: SparkSession, url: str, table: str, **options: str) ->
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """Overwrite a folder of delimited text files with a header."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """Overwrite a folder of delimited text files with a header; blanks are kept."""
+    writer = df.write.mode("overwrite").option("header", True)
+    writer.options(ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
