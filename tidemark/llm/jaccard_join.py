@@ -3,24 +3,27 @@
 Every text becomes the set of its word shingles; equal sets are one set with copies. A run
 sends each set down the paths of sampled tokens: at a node the set goes on with each of its
 tokens whose hash, seeded by the path, is below 1 / (threshold * size), on average a little more
-than one. Similar sets share tokens and so meet in a node. Nodes of many sets are split again,
-small ones are compared by brute force, and the runs are repeated until a pair at the threshold
-is met with the target recall.
+than one. Similar sets share tokens and so meet in a node. Nodes of many sets are split again, by twice
+as many tokens, small ones are compared by brute force, and the runs are repeated until a pair
+at the threshold is met with the target recall. The tokens of all levels are sampled in one
+pass over the texts.
 
 The comparison in a node uses sketches with a margin and yields only which sets hang together.
 Each such group is then gathered once, in blocks of bounded size, and every pair in it is
-verified on the whole sets. Results are counts and classes; pairs are never rows.
+verified on the whole sets, which are made again from the texts for the sets concerned. Results
+are counts and classes; pairs are never rows.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm.common import connected_components, stored
 from tidemark.llm.words import split_words
@@ -28,6 +31,12 @@ from tidemark.llm.words import split_words
 WORDS, THRESHOLD, RECALL = 5, 0.8, 0.9995
 #: Nodes of more sets are split, at most this often.
 SPLIT, DEPTH = 256, 3
+#: Tokens chosen below the first level, in proportion to those chosen there.
+DEEPER = 2
+#: A node's lowest bits are its run.
+RUN_BITS = 6
+#: Bits of the filter that marks the sets to be made again; its size is fixed.
+FILTER_BITS = 1 << 23
 #: Sets compared in one task; larger nodes are compared block by block.
 BLOCK = 4096
 #: Minima in a sketch; pairs whose estimate is within MARGIN deviations are kept.
@@ -43,12 +52,10 @@ _TOKENS = np.dtype("<u8")
 def runs_for(recall: float, depth: int = DEPTH) -> int:
     """Runs after which a pair at the threshold has met in a node at ``depth`` with ``recall``.
 
-    Such a pair shares at least one chosen token on average, so it meets in a child of a node
-    they share with probability 1 - exp(-1) and, level by level, with 1 - exp(-q).
+    Such a pair shares one chosen token on average at the first level and ``DEEPER`` below, so
+    it goes on together with probability 1 - exp(-1) and then 1 - exp(-DEEPER).
     """
-    q = 1.0
-    for _ in range(depth):
-        q = 1 - math.exp(-q)
+    q = (1 - math.exp(-1)) * (1 - math.exp(-DEEPER)) ** (depth - 1)
     return math.ceil(math.log(1 - recall) / math.log(1 - q))
 
 
@@ -88,63 +95,110 @@ def shingle_sets(texts: pa.Array, words: int = WORDS) -> list[np.ndarray]:
     return out
 
 
-def limits(sizes: np.ndarray, threshold: float) -> np.ndarray:
-    """Below which hash a set of each size goes on with a token."""
-    most = np.minimum(1.0, 1.0 / (threshold * np.maximum(1, sizes)))
-    return np.where(most < 1, most * 2.0**63, 2.0**63).astype(np.uint64)
+def chosen(tokens: np.ndarray, sizes: np.ndarray, runs: int, level: int, threshold: float) -> list[np.ndarray]:
+    """For each set, the nodes (first level) or steps (below) that its chosen tokens lead to.
 
+    ``tokens`` holds the sets one after the other. In every run a set chooses the tokens whose
+    hash is below its limit, so equal tokens are chosen alike by sets of like size.
+    """
+    most = (1 if level == 1 else DEEPER) / (threshold * np.maximum(1, sizes))
+    limit = np.repeat((np.minimum(1.0, most) * 2.0**62).astype(np.uint64), sizes)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    places, steps = [], []
+    for run in range(runs):
+        h = _mixed(tokens ^ _mixed(np.array([run * DEPTH + level], np.uint64) * _MIX2))
+        at = np.flatnonzero((h >> np.uint64(2)) <= limit)
+        places.append(owner[at])
+        steps.append((_mixed(h[at] + _MIX) & ~np.uint64((1 << RUN_BITS) - 1)) | np.uint64(run))
+    place, step = np.concatenate(places), np.concatenate(steps).view(np.int64)
+    order = np.argsort(place, kind="stable")
+    return np.split(step[order], np.searchsorted(place[order], np.arange(1, len(sizes))))
 
-def children(tokens: np.ndarray, limit: np.ndarray | np.uint64, node: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the chosen tokens, and the nodes below ``node`` that they lead to."""
-    h = _mixed(tokens ^ np.uint64(node))
-    at = np.flatnonzero((h >> np.uint64(1)) < limit)
-    return at, _mixed(h[at] + _MIX)
 
+_FACTORS = _mixed(np.arange(1000, 1000 + SKETCH, dtype=np.uint64)) | np.uint64(1)
 
-def _roots(runs: int) -> list[int]:
-    return [int(x) for x in _mixed(np.arange(1, runs + 1, dtype=np.uint64) * _MIX2)]
 
+_PREPARED = (
+    "doc_id long, text_hash long, k1 long, k2 long, size long, sketch binary, "
+    + ", ".join(f"level{i} array<long>" for i in range(1, DEPTH + 1))
+)
+
+
+def _parts(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches`` in batches of about ``CHUNK_BYTES`` of text."""
+    for batch in batches:
+        rows = max(1, batch.num_rows * CHUNK_BYTES // max(CHUNK_BYTES, batch.column(text).nbytes))
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
 
-_FACTORS = _mixed(np.arange(1000, 1000 + SKETCH, dtype=np.uint64)) | np.uint64(1)
 
+def _prepared(words: int, threshold: float, runs: int):
+    """Key, size, sketch and sampled tokens of each text's set."""
 
-def _prepared(words: int, threshold: float, roots: list[int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(1)
-            rows = max(1, batch.num_rows * CHUNK_BYTES // max(CHUNK_BYTES, texts.nbytes))
-            for start in range(0, batch.num_rows, rows):
-                part = batch.slice(start, rows)
-                sets = shingle_sets(part.column(1), words)
-                sizes = np.array([len(s) for s in sets])
-                flat = np.concatenate([np.zeros(0, np.uint64), *sets])
-                some = np.flatnonzero(sizes)
-                starts = (np.cumsum(sizes) - sizes)[some]
-                sketch = np.zeros((len(sets), SKETCH), np.uint16)
-                for j, factor in enumerate(_FACTORS if len(some) else ()):
-                    sketch[some, j] = np.minimum.reduceat(flat * factor, starts) % np.uint64(65521)
-                limit = np.repeat(limits(sizes, threshold), sizes)
-                at_of, node_of = zip(*(children(flat, limit, r) for r in roots))
-                owner = np.repeat(np.arange(len(sets)), sizes)[np.concatenate(at_of)]
-                order = np.argsort(owner, kind="stable")
-                nodes = np.split(np.concatenate(node_of)[order], np.searchsorted(owner[order], np.arange(1, len(sets))))
-                digests = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "doc_id": part.column(0),
-                        "text_hash": part.column(2),
-                        "k1": pa.array([int.from_bytes(d[:8], "little", signed=True) for d in digests], pa.int64()),
-                        "k2": pa.array([int.from_bytes(d[8:], "little", signed=True) for d in digests], pa.int64()),
-                        "size": pa.array(sizes, pa.int64()),
-                        "nodes": pa.array([np.unique(x).view(np.int64) for x in nodes], pa.list_(pa.int64())),
-                        "sketch": pa.array([x.tobytes() for x in sketch], pa.binary()),
-                        "tokens": pa.array([s.astype(_TOKENS).tobytes() for s in sets], pa.binary()),
-                    }
-                )
+        for part in _parts(batches, 1):
+            sets = shingle_sets(part.column(1), words)
+            sizes = np.array([len(s) for s in sets])
+            flat = np.concatenate([np.zeros(0, np.uint64), *sets])
+            some = np.flatnonzero(sizes)
+            starts = (np.cumsum(sizes) - sizes)[some]
+            sketch = np.zeros((len(sets), SKETCH), np.uint16)
+            for j, factor in enumerate(_FACTORS if len(some) else ()):
+                sketch[some, j] = np.minimum.reduceat(flat * factor, starts) % np.uint64(65521)
+            digests = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
+            columns = {
+                "doc_id": part.column(0),
+                "text_hash": part.column(2),
+                "k1": pa.array([int.from_bytes(d[:8], "little", signed=True) for d in digests], pa.int64()),
+                "k2": pa.array([int.from_bytes(d[8:], "little", signed=True) for d in digests], pa.int64()),
+                "size": pa.array(sizes, pa.int64()),
+                "sketch": pa.array([x.tobytes() for x in sketch], pa.binary()),
+            }
+            for level in range(1, DEPTH + 1):
+                steps = chosen(flat, sizes, runs, level, threshold)
+                columns[f"level{level}"] = pa.array(steps, pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_pydict(columns)
 
     return run
 
 
+def _places(row: Column | np.ndarray):
+    """The two places of a row hash in the filter."""
+    if isinstance(row, np.ndarray):
+        bits = row.view(np.uint64)
+        return [(bits >> np.uint64(s)) & np.uint64(FILTER_BITS - 1) for s in (0, 32)]
+    return [F.shiftrightunsigned(row, s).bitwiseAND(FILTER_BITS - 1) for s in (0, 32)]
+
+
+def _tokens(docs: DataFrame, rows: DataFrame, words: int) -> DataFrame:
+    """(row, tokens): the sets of the documents whose row hash is in ``rows``, made again.
+
+    A filter of fixed size marks the rows wanted; others that pass it find no partner later.
+    """
+    at = F.explode(F.array(*_places(F.col("row"))))
+    marked = (
+        rows.select(at.alias("at"))
+        .groupBy(F.floor(F.col("at") / 32).cast("int").alias("word"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, int(at % 32))")).alias("bits"))
+        .toPandas()
+    )  # at most FILTER_BITS / 32 rows
+    words_of = np.zeros(FILTER_BITS // 32, np.uint32)
+    words_of[marked["word"].to_numpy(int)] = marked["bits"].to_numpy(np.int64).astype(np.uint32)
+    shared = docs.sparkSession.sparkContext.broadcast(words_of)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            wanted = np.ones(batch.num_rows, bool)
+            for place in _places(batch.column(1).to_numpy(zero_copy_only=False)):
+                wanted &= (shared.value[(place >> np.uint64(5)).astype(np.int64)] >> (place & np.uint64(31)).astype(np.uint32)) & 1 > 0
+            for part in _parts(iter([batch.filter(pa.array(wanted))]), 0):
+                sets = [s.astype(_TOKENS).tobytes() for s in shingle_sets(part.column(0), words)]
+                yield pa.RecordBatch.from_arrays([part.column(1), pa.array(sets, pa.binary())], ["row", "tokens"])
+
+    found = docs.select("text", F.xxhash64("doc_id", F.xxhash64("text")).alias("row")).mapInArrow(run, "row long, tokens binary")
+    return found.dropDuplicates(["row"])
+
+
 def _by_group(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Table]:
     """Tables of whole groups from batches that are sorted by ``column``."""
     held: list[pa.RecordBatch] = []
@@ -264,65 +318,49 @@ def _intersections(sets: list[np.ndarray]) -> np.ndarray:
     return shared.astype(np.int64)
 
 
-def candidate_groups(sets: DataFrame, distinct: DataFrame, threshold: float = THRESHOLD, depth: int = DEPTH) -> DataFrame:
-    """(node, component) of the distinct sets that hang together by some node of the paths."""
-    entries = stored(distinct.select("uid", "size", "sketch", F.explode("nodes").alias("node")))
+def candidate_groups(distinct: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(node, component) of the ``distinct`` sets that hang together by some node of the paths."""
+    entries = distinct.select("uid", F.explode("level1").alias("node"))
     edges = []
-    for level in range(1, depth + 1):
+    for level in range(1, DEPTH + 1):
         counts = entries.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        met = entries.join(counts, "node")
-        most = SPLIT if level < depth else BLOCK
-        edges.append(_in_nodes(met.where(F.col("n") <= most).drop("n"), threshold))
-        rest = stored(met.where(F.col("n") > most))
+        met = stored(entries.join(counts, "node"))
+        most = SPLIT if level < DEPTH else BLOCK
+        edges.append(_in_nodes(met.where(F.col("n") <= most).select("uid", "node"), distinct, threshold))
+        rest = met.where(F.col("n") > most)
         if rest.isEmpty():
             break
-        if level == depth:
-            edges.append(_in_nodes(_blocks(rest), threshold))
+        if level < DEPTH:
+            entries = stored(_split(rest, distinct, level + 1))
         else:
-            entries = stored(_split(rest, sets, threshold))
-    found = edges[0]
-    for more in edges[1:]:
-        found = found.unionByName(more)
-    return connected_components(found)
+            edges.append(_in_nodes(_blocks(rest), distinct, threshold))
+    return connected_components(stored(reduce(DataFrame.unionByName, edges).distinct()))
 
 
-def _in_nodes(entries: DataFrame, threshold: float) -> DataFrame:
-    dealt = entries.select("node", "uid", "size", "sketch").repartition("node").sortWithinPartitions("node")
+def _in_nodes(entries: DataFrame, distinct: DataFrame, threshold: float) -> DataFrame:
+    sketched = entries.join(distinct.select("uid", "size", "sketch"), "uid")
+    dealt = sketched.select("node", "uid", "size", "sketch").repartition("node").sortWithinPartitions("node")
     return dealt.mapInArrow(_compared(threshold), "u long, v long")
 
 
 def _blocks(entries: DataFrame) -> DataFrame:
     """Entries of nodes too large for one task, dealt to nodes for each two of their blocks."""
     count = F.ceil(F.col("n") / (BLOCK // 2)).cast("int")
-    own = F.pmod(F.xxhash64("uid"), count).cast("int")
-    other = F.explode(F.sequence(F.lit(0), count - 1))
-    pair = entries.withColumn("own", own).withColumn("other", other)
+    pair = entries.withColumn("own", F.pmod(F.xxhash64("uid"), count).cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), count - 1))
+    )
     node = F.xxhash64("node", F.least("own", "other"), F.greatest("own", "other"))
-    return pair.select(node.alias("node"), "uid", "size", "sketch")
+    return pair.select("uid", node.alias("node"))
 
 
-def _split(entries: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """The entries of large nodes, sent on to the nodes below."""
-    rows = entries.groupBy("uid").agg(F.collect_list("node").alias("above"), F.first("sketch").alias("sketch"))
-    rows = rows.join(sets.select("uid", "size", "tokens"), "uid")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            below = []
-            for tokens, above in zip(batch.column("tokens"), batch.column("above")):
-                own = np.frombuffer(tokens.as_py(), _TOKENS)
-                limit = limits(np.array(len(own)), threshold)
-                nodes = [children(own, limit, x & 0xFFFFFFFFFFFFFFFF)[1] for x in above.as_py()]
-                below.append(np.unique(np.concatenate(nodes)).view(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("uid"), batch.column("size"), batch.column("sketch"), pa.array(below, pa.list_(pa.int64()))],
-                ["uid", "size", "sketch", "nodes"],
-            )
-
-    down = rows.select("uid", "size", "sketch", "tokens", "above").mapInArrow(
-        run, "uid long, size long, sketch binary, nodes array<long>"
-    )
-    return down.select("uid", "size", "sketch", F.explode("nodes").alias("node"))
+def _split(entries: DataFrame, distinct: DataFrame, level: int) -> DataFrame:
+    """The entries of large nodes, sent on to the nodes below by the tokens of their run."""
+    run = F.lit((1 << RUN_BITS) - 1).cast("long")
+    steps = distinct.select("uid", F.col(f"level{level}").alias("steps"))
+    own = F.filter("steps", lambda t: t.bitwiseAND(run) == F.col("node").bitwiseAND(run))
+    below = entries.join(steps, "uid").select("uid", "node", F.explode(own).alias("step"))
+    node = F.xxhash64("node", "step").bitwiseAND(F.bitwise_not(run)).bitwiseOR(F.col("node").bitwiseAND(run))
+    return below.select("uid", node.alias("node"))
 
 
 def join(
@@ -338,36 +376,42 @@ def join(
     (null, empty) are linked to nothing and kept, a text of fewer words than a shingle is one
     shingle; repeated rows are copies of each other; other columns are ignored.
     """
-    roots = _roots(runs_for(recall))
-    prepared = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(
-        _prepared(words, threshold, roots),
-        "doc_id long, text_hash long, k1 long, k2 long, size long, nodes array<long>, sketch binary, tokens binary",
-    )
+    runs = runs_for(recall)
+    if runs > 1 << RUN_BITS:
+        raise ValueError(f"recall {recall} needs {runs} runs, more than {1 << RUN_BITS}")
+    hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    prepared = hashed.mapInArrow(_prepared(words, threshold, runs), _PREPARED)
     sets = stored(prepared.withColumn("uid", F.monotonically_increasing_id()))
+    least = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.col("uid").alias("row"), "text_hash")
+    levels = [f"level{i}" for i in range(1, DEPTH + 1)]
     distinct = stored(
         sets.where("size > 0").groupBy("k1", "k2").agg(
             F.min("uid").alias("uid"),
-            F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.col("uid").alias("row"))).alias("least"),
+            F.min(least).alias("least"),
             F.count(F.lit(1)).alias("copies"),
-            *[F.first(c).alias(c) for c in ("size", "nodes", "sketch")],
+            *[F.first(c).alias(c) for c in ("size", "sketch", *levels)],
         )
     )
-    groups = stored(candidate_groups(sets, distinct, threshold))
-    member = groups.join(distinct.select(F.col("uid").alias("node"), "size", "copies"), "node")
+    groups = stored(candidate_groups(distinct, threshold))
+    named_row = F.xxhash64("least.doc_id", "least.text_hash").alias("row")
+    member = groups.join(distinct.select(F.col("uid").alias("node"), "size", "copies", named_row), "node")
     totals = member.groupBy("component").agg(F.sum("size").alias("t"), F.count(F.lit(1)).alias("m"))
     blocks = F.greatest(F.ceil(F.col("t") / BLOCK_TOKENS), F.ceil(F.col("m") / BLOCK_SETS)).cast("int")
-    placed = (
+    own, other = F.col("own"), F.col("other")
+    placed = stored(
         member.join(totals.withColumn("blocks", blocks), "component")
         .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
             F.xxhash64("component", F.least("own", "other"), F.greatest("own", "other")).alias("block"),
-            F.when(F.col("own") == F.col("other"), 0).otherwise(F.when(F.col("own") < F.col("other"), 1).otherwise(2)).alias("part"),
+            F.when(own == other, 0).when(own < other, 1).otherwise(2).alias("part"),
             F.col("node").alias("uid"),
             "copies",
+            "size",
+            "row",
         )
     )
-    gathered = placed.join(sets.select("uid", "size", "tokens"), "uid")
+    gathered = placed.join(_tokens(docs, placed.select("row").distinct(), words), "row")
     links = stored(
         gathered.select("block", "part", "uid", "copies", "size", "tokens")
         .repartition("block")
@@ -378,9 +422,9 @@ def join(
     classes = connected_components(links.select(F.col("uid").alias("u"), F.col("label").alias("v")))
     known = distinct.select("k1", "k2", "uid", "least", "copies")
     named = known.join(classes.withColumnRenamed("node", "uid"), "uid", "left").join(degrees, "uid", "left")
-    least = named.where("component IS NOT NULL").groupBy("component").agg(F.min("least").alias("of_class"))
+    of_all = named.where("component IS NOT NULL").groupBy("component").agg(F.min("least").alias("of_class"))
     of_class = F.coalesce("of_class", "least")
-    result = named.join(least, "component", "left").select(
+    result = named.join(of_all, "component", "left").select(
         "k1",
         "k2",
         of_class["doc_id"].alias("class_id"),
