@@ -24,9 +24,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 #: Bytes of text that are encoded into one batch of results.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 #: Entries kept of words and of token pairs already worked out; beyond it they start afresh.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 
 #: Stands for the end of a word in the automaton; no byte has this code.
 _END = "Ā"
@@ -143,45 +143,52 @@ class Tokenizer:
         pairs are merged from left to right, so the border goes before a merge of the same
         rank on its right, and after one on its left.
         """
-        key = left << 32 | right
-        known = self.compatible.get(key)
-        if known is None:
-            if len(self.compatible) >= REMEMBERED:
-                self.compatible.clear()
-            merged, after = self.merged, self.edges[1](right)
-            none = len(merged) + 1
-            known = self.compatible[key] = not any(
-                (rank := merged.get((a, b), none)) < taken_a and rank <= taken_b
-                for a, taken_a in self.edges[0](left)
-                for b, taken_b in after
-            )
+        if len(self.compatible) >= REMEMBERED:
+            self.compatible.clear()
+        merged, after = self.merged, self.edges[1](right)
+        none = len(merged) + 1
+        known = self.compatible[left << 32 | right] = not any(
+            (rank := merged.get((a, b), none)) < taken_a and rank <= taken_b
+            for a, taken_a in self.edges[0](left)
+            for b, taken_b in after
+        )
         return known
 
     def encode_word(self, word: str) -> list[int]:
         """Token ids of one word (a match of the word pattern)."""
         coded = word.encode("utf-8").decode("latin-1") + _END
         n = len(coded)
-        found: list[list[tuple[int, int]]] = [[] for _ in range(n)]
-        for end, (size, token) in self.automaton.iter(coded):
-            found[end + 1 - size].append((size, token))  # in ascending length
-        at, chosen, places, failed = 0, [], [0], set()
+        found: list[list[tuple[int, int]] | None] = [None] * n
+        for end, match in self.automaton.iter(coded):
+            at = end + 1 - match[0]
+            if found[at] is None:
+                found[at] = [match]
+            else:
+                found[at].append(match)  # in ascending length
+        at, last, chosen, failed = 0, -1, [], set()
+        compatible = self.compatible
         while at < n:
             options = found[at]
             while options:
-                size, token = options.pop()
-                if at + size not in failed and (not chosen or self._apart(chosen[-1], token)):
-                    chosen.append(token)
-                    at += size
-                    places.append(at)
-                    break
+                match = options.pop()
+                size, token = match
+                if at + size in failed:
+                    continue
+                if last >= 0:
+                    known = compatible.get(last << 32 | token)
+                    if not (self._apart(last, token) if known is None else known):
+                        continue
+                chosen.append(match)
+                last = token
+                at += size
+                break
             else:
                 failed.add(at)
-                places.pop()
                 if not chosen:
                     raise ValueError(f"no tokens for {word!r}")
-                chosen.pop()
-                at = places[-1]
-        return chosen
+                at -= chosen.pop()[0]
+                last = chosen[-1][1] if chosen else -1
+        return [token for _, token in chosen]
 
     def _index(self, word: str) -> int:
         """Where the ids of a word are kept; a new word is encoded first."""
