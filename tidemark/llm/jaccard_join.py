@@ -30,7 +30,7 @@ from tidemark.llm.words import split_words
 
 WORDS, THRESHOLD, RECALL = 5, 0.8, 0.9995
 #: Nodes of more sets are split, at most this often.
-SPLIT, DEPTH = 256, 3
+SPLIT, DEPTH = 4096, 3
 #: Tokens chosen below the first level, in proportion to those chosen there.
 DEEPER = 2
 #: A node's lowest bits are its run.
