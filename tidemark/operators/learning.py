@@ -278,17 +278,20 @@ def regression_leaderboard(
     features: Sequence[str],
     label: str,
     parallelism: int = PARALLEL_FITS,
+    whole: dict[str, PipelineModel] | None = None,
 ) -> DataFrame:
     """Test and cross-validation metrics per model, best R² first.
 
     ``train`` carries a ``fold`` column. Fits run concurrently; all metrics come from
     one aggregate over the test predictions and one over the out-of-fold predictions.
+    ``whole``, if given, receives the models that the test metrics are of.
     """
     def score(m: PipelineModel, df: DataFrame) -> DataFrame:
         return predict(m, df).withColumn("actual", F.col(label).cast("double"))
 
     train, test = _stored(train, test, features, label)
-    whole = _fit_all(train, models, features, label, parallelism)
+    whole = {} if whole is None else whole
+    whole |= _fit_all(train, models, features, label, parallelism)
     folds = fit_folds(train, models, features, label, parallelism=parallelism)
     held_out = regression_metrics(_score_test(whole, test, score), ["model"]).drop("n")
     cv = cross_validated_regression(score_folds(folds, train, score))

@@ -328,6 +328,10 @@ DOC_FEATURES = ("length", "space_share", "digit_share", "line_share", "stop_shar
 
 def docs(spark: SparkSession, sf: str) -> DataFrame:
     """Labelled documents with counts taken over their whole text."""
+    return _counted_docs(spark, sf, "inner")
+
+
+def _counted_docs(spark: SparkSession, sf: str, how: str) -> DataFrame:
     text = F.col("text")
 
     def count(chars: str) -> Column:
@@ -335,7 +339,7 @@ def docs(spark: SparkSession, sf: str) -> DataFrame:
 
     return (
         table(spark, sf, "documents")
-        .join(table(spark, sf, "labels"), "doc_id")
+        .join(table(spark, sf, "labels"), "doc_id", how)
         .select(
             "doc_id",
             "n_chars",
@@ -353,7 +357,16 @@ def docs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def doc_features(spark: SparkSession, sf: str) -> DataFrame:
-    rows = docs(spark, sf)
+    return _shares(docs(spark, sf))
+
+
+def all_doc_features(spark: SparkSession, sf: str) -> DataFrame:
+    """The same for every document; the labels of most are missing."""
+    rows = _counted_docs(spark, sf, "left")
+    return _shares(rows.na.fill(0.0, ["length", "spaces", "digits", "lines", "stops"]))
+
+
+def _shares(rows: DataFrame) -> DataFrame:
     size = F.greatest(F.col("length"), F.lit(1.0))
     shares = {"space": "spaces", "digit": "digits", "line": "lines", "stop": "stops"}
     return rows.withColumns({f"{k}_share": F.col(v) / size for k, v in shares.items()})

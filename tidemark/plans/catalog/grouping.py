@@ -328,6 +328,20 @@ def n1_flag(spark, sf):
     return round_all(T.entity_summary(B.daytime(spark, sf)))
 
 
+@query(
+    "n1_flag_totals",
+    f"""SELECT plant, source_key, {r('ac_total')} AS ac_total, {r('group_mean')} AS group_mean,
+      CASE WHEN ac_total < 0.9 * group_mean THEN 'Under' ELSE 'Normal' END AS flag
+      FROM (SELECT *, avg(ac_total) OVER (PARTITION BY plant) AS group_mean FROM (
+        SELECT plant, source_key, sum(ac_power) AS ac_total FROM daytime GROUP BY 1, 2))""",
+    TELEMETRY,
+)
+def n1_flag_totals(spark, sf):
+    """Inverters whose total output is below 90 % of the plant's mean total."""
+    totals = A.sum_per_key(B.daytime(spark, sf), ["plant", "source_key"], "ac_power", "ac_total")
+    return round_all(A.flag_below_mean(totals, "ac_total", ["plant"]))
+
+
 @query(
     "n2_stride",
     """SELECT plant, source_key, event_id FROM (SELECT *, row_number() OVER

@@ -64,14 +64,24 @@ def training_rows(day: DataFrame, key: Sequence[str], plant: int = 1) -> tuple[D
     return train.withColumn("fold", fold_of([F.col(k) for k in key])), test
 
 
-def train_models(day: DataFrame, key: Sequence[str], root: str, plant: int = 1) -> DataFrame:
-    """Fit and save every model on one plant; returns the leaderboard."""
+def train_models(
+    day: DataFrame,
+    key: Sequence[str],
+    root: str,
+    plant: int = 1,
+    features: Sequence[str] = FEATURES,
+    target: str = TARGET,
+    names: Sequence[str] = MODELS,
+) -> DataFrame:
+    """Fit every model once on one plant and save it; returns the leaderboard of those models."""
     train, test = training_rows(day, key, plant)
-    models = {name: M.REGRESSORS[name] for name in MODELS}
-    for name, recipe in models.items():
-        fitted = M.fit(train, recipe, FEATURES, TARGET)
-        save_model(fitted, root, name, TARGET, f"plant{plant}")
-    return M.regression_leaderboard(train, test, models, FEATURES, TARGET)
+    fitted: dict = {}
+    board = M.regression_leaderboard(
+        train, test, {name: M.REGRESSORS[name] for name in names}, features, target, whole=fitted
+    )
+    for name, model in fitted.items():
+        save_model(model, root, name, target, f"plant{plant}")
+    return board
 
 
 def monitor(scored: DataFrame, by: Sequence[str] = ("plant", "source_key")) -> DataFrame:
