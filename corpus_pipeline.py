@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import bpe, jaccard_join, language, mixing, secrets
-from tidemark.llm.common import held_out, new_table, table
+from tidemark.llm.common import drop_tables, held_out, new_table, table
 from tidemark.llm.queries import MIX_SEED, MIX_SHARE, VOCABULARY, WEIGHTS, mix_levels
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -84,5 +84,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs
 
 
+clean_up = drop_tables
 QUERIES = {"pipeline": run}
 ORACLE: dict[str, str] = {}

@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
+from tidemark.llm.common import document_batches
+
 #: Bytes of text that are encoded into one batch of results.
 BATCH_BYTES = 1 << 20
 #: Entries kept of words and of token pairs already worked out; beyond it they start afresh.
@@ -285,7 +287,7 @@ def encode(df: DataFrame, path: str, column: str = "text", name: str = "ids") ->
                 [*rest, name],
             )
 
-    return df.select(*rest, column).mapInArrow(run, schema)
+    return document_batches(df.select(*rest, column)).mapInArrow(run, schema)
 
 
 def decode(df: DataFrame, path: str, column: str = "ids", name: str = "decoded") -> DataFrame:
@@ -305,4 +307,4 @@ def decode(df: DataFrame, path: str, column: str = "ids", name: str = "decoded")
                 [*(batch.column(c) for c in kept), pa.array(texts, pa.string())], [*kept, name]
             )
 
-    return df.select(*kept).mapInArrow(run, schema)
+    return document_batches(df.select(*kept)).mapInArrow(run, schema)

@@ -55,6 +55,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Session setting for the rows that Spark hands to Python at once, and the most for documents.
+BATCH_ROWS_KEY, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
+
+
+def document_batches(df: DataFrame) -> DataFrame:
+    """``df``, its session set to hand documents to Python in batches of at most ``BATCH_ROWS``.
+
+    The default suits narrow rows; that many whole texts would fill an executor's memory.
+    """
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(BATCH_ROWS_KEY)) <= BATCH_ROWS:
+        conf.set(BATCH_ROWS_KEY, str(BATCH_ROWS))
+    return df
+
+
 def held_out(key: str | Column = "doc_id") -> Column:
     """True for the fifth of all documents that no model learns from."""
     key = F.col(key) if isinstance(key, str) else key

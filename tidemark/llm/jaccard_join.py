@@ -25,7 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import connected_components, stored
+from tidemark.llm.common import connected_components, document_batches, stored
 from tidemark.llm.words import split_words
 
 WORDS, THRESHOLD, RECALL = 5, 0.8, 0.9995
@@ -379,7 +379,7 @@ def join(
     runs = runs_for(recall)
     if runs > 1 << RUN_BITS:
         raise ValueError(f"recall {recall} needs {runs} runs, more than {1 << RUN_BITS}")
-    hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    hashed = document_batches(docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")))
     prepared = hashed.mapInArrow(_prepared(words, threshold, runs), _PREPARED)
     sets = stored(prepared.withColumn("uid", F.monotonically_increasing_id()))
     least = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.col("uid").alias("row"), "text_hash")

@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from tidemark.llm.common import document_batches
 from tidemark.llm.words import letter_groups, split_words
 
 #: Hashed letter groups; the model has this many scores for each language, whatever the input.
@@ -121,7 +122,7 @@ def learn(docs: DataFrame, learn_from: int = LEARN_FROM) -> Model:
     share = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], learn_from / r["count"])]) if sizes else None
     chosen = known.where(spread < share[F.col("lang")]) if sizes else known.limit(0)
     counts = (
-        chosen.select("text", "lang")
+        document_batches(chosen.select("text", "lang"))
         .mapInArrow(_counted, "lang string, kind int, place int, n long")
         .groupBy("lang", "kind", "place")
         .agg(F.sum("n").alias("n"))
@@ -253,7 +254,7 @@ def identify(docs: DataFrame, model: Model, switch: float = SWITCH, keep: tuple[
                 )
 
     kept = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return docs.select(*keep, F.col("text").alias("_text")).mapInArrow(
+    return document_batches(docs.select(*keep, F.col("text").alias("_text"))).mapInArrow(
         run,
         f"{kept}, lang_pred string, score double, supported double, "
         "spans array<struct<first:int,words:int,lang:string>>",

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.llm import bpe, fingerprints, jaccard_join, language, mixing, neighbours, secrets, token_counts, toxicity, url_filter
-from tidemark.llm.common import held_out, table
+from tidemark.llm.common import drop_tables, held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -22,6 +22,9 @@ ALLOWED = [("org", "/"), ("com", "/fr/")]
 BLOCKED = [("example.org", "/es/"), ("example.org", "/en/1"), ("com", "/de/")]
 
 
+clean_up = drop_tables
+
+
 def query(fn: Query) -> Query:
     QUERIES[fn.__name__] = fn
     return fn

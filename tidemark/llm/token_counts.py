@@ -19,7 +19,7 @@ import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
-from tidemark.llm.common import stored
+from tidemark.llm.common import document_batches, stored
 
 #: Tokens of a block; bytes of a token.
 BLOCK, WIDTH = 1 << 16, 2
@@ -71,7 +71,7 @@ def write_flat(
         if size:
             yield rows([written], [None], [np.concatenate(held).tobytes()])
 
-    table = stored(docs.select("doc_id", "text").mapInArrow(run, "file int, place long, doc_id long, payload binary"))
+    table = stored(document_batches(docs.select("doc_id", "text")).mapInArrow(run, "file int, place long, doc_id long, payload binary"))
     files = table.where("payload IS NOT NULL").select("file", F.col("place").alias("block"), "payload")
     return files, table.where("payload IS NULL").select("file", F.col("place").alias("ordinal"), "doc_id")
 

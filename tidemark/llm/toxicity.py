@@ -17,6 +17,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from tidemark.llm.common import document_batches
 from tidemark.llm.words import letter_groups, split_words
 
 #: Hashed words, word pairs and letter groups; the model has one weight for each.
@@ -222,7 +223,7 @@ def learn(
     chosen = F.broadcast(known.where(spread < part[F.col("toxic")]))
     share = {label: n / sum(sizes.values()) for label, n in sizes.items()}
     examples = (
-        docs.select("doc_id", "text")
+        document_batches(docs.select("doc_id", "text"))
         .join(chosen, "doc_id")
         .select("text", F.col("toxic").cast("int"))
         .mapInArrow(_examples(identities), "toxic int, own array<int>, other array<int>, neutral array<int>")
@@ -263,4 +264,4 @@ def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) ->
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], scores], [*keep, "score"])
 
     kept = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return docs.select(*keep, F.col("text").alias("_text")).mapInArrow(run, f"{kept}, score double")
+    return document_batches(docs.select(*keep, F.col("text").alias("_text"))).mapInArrow(run, f"{kept}, score double")
