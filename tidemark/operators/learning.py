@@ -23,7 +23,10 @@ from tidemark.operators.monitoring import classification_metrics, regression_met
 SEED = 42
 TREES = 100
 TREE_DEPTH = 8
-FOREST_DEPTH = 12
+#: The deepest trees the library grows; the forests are meant to be unlimited.
+FOREST_DEPTH = 30
+#: Cut points tried for a feature.
+MAX_BINS = 32
 ROUNDS, BOOST_DEPTH, BOOST_STEP = 100, 3, 0.1
 LOGISTIC_ITERATIONS = 500
 NETWORK_ITERATIONS, HIDDEN_LAYERS = 300, (128, 64)
@@ -41,6 +44,8 @@ class TrainingFacts:
     rows: int
     features: int
     label_spread: float
+    forest_depth: int = FOREST_DEPTH
+    max_bins: int = MAX_BINS
 
 
 @dataclass(frozen=True)
@@ -72,25 +77,25 @@ REGRESSORS: dict[str, Model] = {
         scaled=True,
     ),
     "Decision Tree": Model(
-        lambda f: R.DecisionTreeRegressor(**_columns(maxDepth=TREE_DEPTH, seed=SEED))
+        lambda f: R.DecisionTreeRegressor(**_columns(maxDepth=TREE_DEPTH, maxBins=f.max_bins, seed=SEED))
     ),
     "Random Forest": Model(
         lambda f: R.RandomForestRegressor(
             **_columns(
-                numTrees=TREES, maxDepth=FOREST_DEPTH, featureSubsetStrategy="all", seed=SEED
+                numTrees=TREES, maxDepth=f.forest_depth, maxBins=f.max_bins, featureSubsetStrategy="all", seed=SEED
             )
         )
     ),
     "Gradient Boosting": Model(
         lambda f: R.GBTRegressor(
-            **_columns(maxIter=ROUNDS, maxDepth=BOOST_DEPTH, stepSize=BOOST_STEP, seed=SEED)
+            **_columns(maxIter=ROUNDS, maxDepth=BOOST_DEPTH, maxBins=f.max_bins, stepSize=BOOST_STEP, seed=SEED)
         )
     ),
 }
 
 CLASSIFIERS: dict[str, Model] = {
     "Decision Tree": Model(
-        lambda f: C.DecisionTreeClassifier(**_columns(maxDepth=TREE_DEPTH, seed=SEED))
+        lambda f: C.DecisionTreeClassifier(**_columns(maxDepth=TREE_DEPTH, maxBins=f.max_bins, seed=SEED))
     ),
     "Logistic Regression": Model(
         lambda f: C.LogisticRegression(
@@ -109,12 +114,12 @@ CLASSIFIERS: dict[str, Model] = {
     ),
     "Random Forest": Model(
         lambda f: C.RandomForestClassifier(
-            **_columns(numTrees=TREES, maxDepth=FOREST_DEPTH, seed=SEED)
+            **_columns(numTrees=TREES, maxDepth=f.forest_depth, maxBins=f.max_bins, seed=SEED)
         )
     ),
     "Gradient Boosting": Model(
         lambda f: C.GBTClassifier(
-            **_columns(maxIter=ROUNDS, maxDepth=BOOST_DEPTH, stepSize=BOOST_STEP, seed=SEED)
+            **_columns(maxIter=ROUNDS, maxDepth=BOOST_DEPTH, maxBins=f.max_bins, stepSize=BOOST_STEP, seed=SEED)
         )
     ),
     "MLP Neural Network": Model(
