@@ -7,6 +7,8 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
+from tests.compare import compare, connect
 from tests.llm.data import SF, awkward, clashing, documents
 from tidemark.llm import fingerprints, queries, secrets, url_filter
 from tidemark.llm.common import connected_components
@@ -204,3 +206,9 @@ def test_weak_parts_need_complements(spark):
         0: ["access", "blob", "endpoint"], 1: [], 2: ["access"], 3: ["name", "assign", "endpoint"],
         4: [], 5: ["blob"], 6: ["assign", "name"],
     }
+
+
+@pytest.mark.parametrize("name", ["op7_url_filter", "op9_secrets"])
+def test_queries_match_sql(spark, name):
+    for sf in (SF, "/root/testdata/sf0.01"):
+        assert compare(entry.queries()[name](spark, sf), connect(sf), entry.oracle_sql()[name]) is None

@@ -175,6 +175,50 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Rules by host suffix and path prefix, aliases by the closure of the links.
+ORACLE["op7_url_filter"] = r"""
+WITH RECURSIVE rules(h, p, verdict) AS (VALUES {rules}
+), split AS MATERIALIZED (
+  SELECT page_id, url, html, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) END AS rest FROM pages
+), tags AS (
+  SELECT url, regexp_extract(url, '^[^:]*://[^/?#]*') AS site, unnest(regexp_extract_all(html, '(?i)<(?:link|meta)\b[^>]*>')) AS tag FROM split
+), links AS (
+  SELECT url AS u, site, CASE
+      WHEN regexp_matches(tag, '(?i)\brel\s*=\s*["'']?canonical\b') THEN regexp_extract(tag, '(?i)\bhref\s*=\s*["'']?([^"''\s>]+)', 1)
+      WHEN regexp_matches(tag, '(?i)\bhttp-equiv\s*=\s*["'']?refresh\b') THEN regexp_extract(tag, '(?i)\burl\s*=\s*["'']?([^"''\s>;]+)', 1) END AS t
+  FROM tags
+), edges AS MATERIALIZED (
+  SELECT u, CASE WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN t
+      WHEN starts_with(t, '//') THEN regexp_extract(u, '^[^:]*:') || t WHEN starts_with(t, '/') THEN site || t
+      WHEN regexp_matches(t, '^[?#]') THEN regexp_extract(u, '^[^?#]*') || t ELSE regexp_extract(u, '^[^?#]*/') || t END AS v
+  FROM links WHERE t <> ''
+  UNION
+  SELECT url, 'https://' || translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+      || regexp_replace(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '(?:\.html?|/+)$', '')
+      || CASE WHEN q <> '' THEN '?' || q ELSE '' END
+  FROM (SELECT *, array_to_string(list_filter(string_split(regexp_extract(url, '^[^?#]*\?([^#]*)', 1), '&'),
+      lambda x: x <> '' AND NOT regexp_matches(x, '(?i)^(?:utm_[a-z]+|ref|fbclid|gclid)=')), '&') AS q FROM split WHERE rest IS NOT NULL)
+), urls AS MATERIALIZED (
+  SELECT DISTINCT url, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+      regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM (SELECT url, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) END AS rest
+        FROM (SELECT url FROM split UNION SELECT u FROM edges UNION SELECT v FROM edges) WHERE url IS NOT NULL)
+), matched AS MATERIALIZED (
+  SELECT url, h || p AS rule, verdict FROM urls JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+  QUALIFY row_number() OVER (PARTITION BY url ORDER BY length(h || p) DESC, length(h) DESC, verdict) = 1
+), both_ways AS MATERIALIZED (
+  SELECT u, v FROM edges WHERE u <> v UNION SELECT v, u FROM edges WHERE u <> v
+), reach AS (
+  SELECT u AS x, u AS y FROM both_ways UNION SELECT r.x, b.v FROM reach r JOIN both_ways b ON r.y = b.u
+), shared AS (
+  SELECT x, CASE WHEN bool_or(verdict = 'allow') THEN 'allow' ELSE 'block' END AS verdict FROM reach JOIN matched ON y = url GROUP BY x
+)
+SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, m.rule,
+       coalesce(m.verdict, s.verdict, 'allow') AS verdict, CASE WHEN m.rule IS NULL THEN s.verdict END AS from_aliases
+FROM split LEFT JOIN urls USING (url) LEFT JOIN matched m USING (url) LEFT JOIN shared s ON s.x = split.url
+""".replace("{rules}", ", ".join(f"('{h}', '{p}', '{v}')" for v, rules in (("allow", ALLOWED), ("block", BLOCKED)) for h, p in rules))
+
+
 @query
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     links = jaccard_join.join(table(spark, sf_dir, "documents"))
@@ -228,6 +272,45 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _secrets_sql() -> str:
+    """Matches and the gaps between them give the positions; parts meet by their distance."""
+    keyword = "(?i:(?:password|passwd|secret|token|api_?key)[\"'']?\\x20*[:=]\\x20*[\"'']?)"
+    name = "(?i:\\b(?:user(?:name)?|login|account|client_?id|access_?key(?:_?id)?)[\"'']?\\x20*[:=]\\x20*[\"'']?)"
+    schemes = "https?|ftps?|ssh|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb|redis|amqp"
+    mixed = "regexp_matches(hit, '[0-9]') AND regexp_matches(hit, '[A-Z]') AND regexp_matches(hit, '[a-z]')"
+    kinds = [
+        ("assign", keyword + "[A-Za-z0-9+/_.=-]+", "secret", True, f"length(regexp_replace(hit, '^{keyword}', '')) >= 12"),
+        ("access", "AKIA[A-Z0-9]{14,}", "identifier", True, "true"),
+        ("hex", "[0-9a-f]{16,}", "secret", True, "true"),
+        ("name", name + "[A-Za-z0-9._@+-]{3,}", "identifier", False, "true"),
+        ("blob", "[A-Za-z0-9+/_-]{20,}={0,2}", "secret", False, mixed),
+        ("endpoint", f"\\b(?:{schemes})://[^\\s\"''<>]+", "endpoint", False, "true"),
+    ]
+    parts = " UNION ALL ".join(
+        f"""SELECT doc_id, {i} AS ord, '{kind}' AS kind, '{role}' AS role, {strong} AS strong, e - length(hit) AS s, e
+        FROM (SELECT doc_id, hits[i] AS hit, list_sum(list_transform(gaps[1:i], lambda g: length(g)))
+                + list_sum(list_transform(hits[1:i], lambda h: length(h))) AS e
+          FROM (SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM (
+            SELECT doc_id, regexp_extract_all(text, '{pattern}') AS hits, string_split_regex(text, '{pattern}') AS gaps FROM documents)))
+        WHERE {kept}"""
+        for i, (kind, pattern, role, strong, kept) in enumerate(kinds)
+    )
+    has = ", ".join(f"bool_or(o.role = '{r}') AS {r}" for r in ("identifier", "secret", "endpoint"))
+    listed = "string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, ord)"
+    return f"""WITH parts AS MATERIALIZED ({parts}),
+      met AS (SELECT w.doc_id, w.ord, w.kind, w.role, w.s, w.e, {has}, bool_or(o.strong AND o.s <= w.s AND o.e >= w.e) AS inside
+        FROM parts w JOIN parts o ON w.doc_id = o.doc_id AND o.s <= w.e + {secrets.REACH} AND o.e >= w.s - {secrets.REACH}
+        WHERE NOT w.strong GROUP BY ALL),
+      spans AS (SELECT doc_id, ord, kind, s, e FROM parts WHERE strong UNION ALL SELECT doc_id, ord, kind, s, e FROM met
+        WHERE CASE role WHEN 'identifier' THEN secret WHEN 'secret' THEN (identifier OR endpoint) AND NOT inside ELSE identifier AND secret END)
+      SELECT doc_id, {', '.join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in secrets.BASE)},
+        sha256(coalesce({listed} FILTER (ord < 3), '')) AS base_sha256, coalesce({listed}, '') AS spans
+      FROM documents LEFT JOIN spans USING (doc_id) GROUP BY doc_id"""
+
+
+ORACLE["op9_secrets"] = _secrets_sql()
+
+
 def encoded(docs: DataFrame, path: str) -> DataFrame:
     """Digests of the token ids of ``docs`` (doc_id, text) and of what they decode to."""
     ids = bpe.encode(docs.select("doc_id", "text"), path)
