@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import scalars as X
 from tidemark.operators import aggregates as A, joins as J
-from tidemark.plans import bindings as B, customers as C
+from tidemark.plans import bindings as B, customers as C, telemetry as T
 from tidemark.plans.catalog.base import query, r, rd, round_all
 from tidemark.plans.catalog.cleaning import CUSTOMER_VIEWS, customers
 
@@ -111,6 +111,26 @@ def j4_left_time(spark, sf):
     return round_all(joined.drop("date_time"))
 
 
+MEASURES = ("ambient_temperature", "module_temperature", "irradiation")
+
+
+@query(
+    "j4_join_plants",
+    f"""SELECT event_id, t.plant, date_trunc('minute', t.date_time) AS date_time, ac_power, {', '.join(f'{r("w." + m)} AS {m}' for m in MEASURES)}
+      FROM telemetry t LEFT JOIN (SELECT plant, date_trunc('minute', date_time) AS at, {', '.join(f'avg({m}) AS {m}' for m in MEASURES)}
+        FROM telemetry GROUP BY 1, 2) w ON t.plant = w.plant AND w.at = date_trunc('minute', t.date_time)""",
+    [B.TELEMETRY_SQL],
+)
+def j4_join_plants(spark, sf):
+    """The telemetry flow: generation and weather with times as texts of different layouts."""
+    rows = B.telemetry(spark, sf)
+    day_first = F.date_format("date_time", "dd-MM-yyyy HH:mm").alias("date_time")
+    generation = rows.select("event_id", "plant", "ac_power", day_first)
+    iso = F.date_format(F.date_trunc("minute", "date_time"), "yyyy-MM-dd HH:mm:ss").alias("date_time")
+    weather = rows.groupBy("plant", iso).agg(*[F.avg(m).alias(m) for m in MEASURES])
+    return round_all(T.join_plants(generation, weather))
+
+
 @query(
     "j5_daily_pair",
     f"""SELECT plant, date, {r('max(daily_yield)')} AS daily_yield, {r('sum(irradiation)')} AS irradiation
