@@ -112,7 +112,6 @@ class Tokenizer:
         # the pieces of a token that stood at its right or left edge while it was merged,
         # each with the rank of the merge that took it in
         self.edges = [lru_cache(REMEMBERED)(lambda t, side=side: self._edge(t, side)) for side in (1, 0)]
-        self.compatible: dict[int, bool] = {}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.at_special = re.compile(f"({'|'.join(map(re.escape, self.special))})") if self.special else None
         pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
@@ -123,9 +122,11 @@ class Tokenizer:
         shown = [f"{names.get(i, '')} ".encode() for i in range(max(names) + 1)]
         self.blob = np.frombuffer(b"".join(shown), np.uint8)
         self.offsets = np.concatenate([[0], np.cumsum([len(s) for s in shown])])
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
+        """Drop what was learned from texts; a worker process outlives the tasks it serves."""
+        self.compatible: dict[int, bool] = {}
         self.place: dict[str, int] = {}
         self.flat, self.starts = np.zeros(1 << 16, np.int32), np.zeros(1 << 14, np.int64)
 
@@ -215,7 +216,7 @@ class Tokenizer:
                 text, split = text.translate(_LOWER), self.words
         words = split(text.lower())
         if len(self.place) >= REMEMBERED:
-            self._forget()
+            self.forget()
         try:
             which = [self.place[w] for w in words]
         except KeyError:
@@ -286,6 +287,7 @@ def encode(df: DataFrame, path: str, column: str = "text", name: str = "ids") ->
                 [*(batch.column(c) for c in rest), pa.ListArray.from_arrays(pa.array(ends), values)],
                 [*rest, name],
             )
+        own.forget()
 
     return document_batches(df.select(*rest, column)).mapInArrow(run, schema)
 

@@ -43,7 +43,7 @@ BLOCK = 4096
 SKETCH, MARGIN = 64, 4.0
 #: Tokens and sets of a block that is verified in one task.
 BLOCK_TOKENS, BLOCK_SETS = 2_000_000, 2_000
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 
 _MIX, _MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 _TOKENS = np.dtype("<u8")

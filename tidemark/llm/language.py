@@ -31,8 +31,9 @@ SWITCH = 8.0
 #: Bound on what one word may add, so that a single odd word does not outweigh a text.
 WORD_BOUND = 6.0
 UNKNOWN = "und"
-#: Words labelled at a time, and distinct words whose scores are remembered.
-CHUNK_BYTES, REMEMBERED = 4 << 20, 200_000
+#: Bytes of text that are labelled at a time (long texts advance together), and split into words
+#: at a time; forms whose letter groups are made at a time, and forms that are remembered.
+CHUNK_BYTES, PIECE_BYTES, FORMS_AT_A_TIME, REMEMBERED = 4 << 20, 1 << 19, 10_000, 150_000
 
 #: First code point of each range of letters, and the script it belongs to (fixed values).
 SCRIPTS = (
@@ -75,38 +76,48 @@ class Model(NamedTuple):
     scripts: np.ndarray
 
 
+def _pieces(texts: pa.Array, bound: int) -> Iterator[tuple[int, pa.Array]]:
+    """Slices of about ``bound`` bytes, with the place of their first text."""
+    rows = max(1, len(texts) * bound // max(bound, texts.nbytes))
+    for at in range(0, len(texts), rows):
+        yield at, texts.slice(at, rows)
+
+
+def _grouped(forms: list[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first form, feature, form) of the letter groups of some forms at a time."""
+    for at in range(0, len(forms), FORMS_AT_A_TIME):
+        part = forms[at : at + FORMS_AT_A_TIME]
+        yield at, *letter_groups(part, 1, GROUP, FEATURES)
+
+
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per language: how often each letter group occurs (kind 0) and each script (kind 1)."""
+    totals: dict[str, tuple[np.ndarray, np.ndarray]] = {}
     for batch in batches:
-        for at in range(0, batch.num_rows, 2000):
-            rows = batch.slice(at, 2000)
-            langs = rows.column(1).dictionary_encode()
-            words = split_words(rows.column(0))
-            if not len(words.form_of):
-                continue
-            n = len(words.forms)
-            lang = langs.indices.to_numpy(zero_copy_only=False)[words.text_of].astype(np.int64)
-            used, times = np.unique(lang * n + words.form_of, return_counts=True)
-            feature, form = letter_groups(words.forms, 1, GROUP, FEATURES)
-            order, size = np.argsort(form, kind="stable"), np.bincount(form, minlength=n)
-            first = np.cumsum(size) - size
+        langs = np.array(batch.column(1).to_pylist(), object)
+        for at, texts in _pieces(batch.column(0), PIECE_BYTES):
+            words = split_words(texts)
+            lang_of = langs[at + words.text_of]
             script = scripts_of(words.forms)
-            for code in np.unique(used // n):
-                mine = used // n == code
-                forms, count = used[mine] % n, times[mine]
-                where = np.repeat(first[forms] - (np.cumsum(size[forms]) - size[forms]), size[forms]) + np.arange(size[forms].sum())
-                groups = np.bincount(feature[order[where]], np.repeat(count, size[forms]), FEATURES)
-                letters = np.bincount(script[forms], count * [len(words.forms[i]) for i in forms], len(_NAMES))
-                for kind, found in ((0, groups), (1, letters)):
-                    seen = np.flatnonzero(found)
-                    yield pa.RecordBatch.from_pydict(
-                        {
-                            "lang": pa.array([langs.dictionary[int(code)].as_py()] * len(seen), pa.string()),
-                            "kind": pa.array(np.full(len(seen), kind, np.int32)),
-                            "place": pa.array(seen.astype(np.int32)),
-                            "n": pa.array(found[seen].astype(np.int64)),
-                        }
-                    )
+            length = np.array([len(f) for f in words.forms], np.int64)
+            for lang in set(lang_of):
+                times = np.bincount(words.form_of[lang_of == lang], minlength=len(words.forms))
+                groups, letters = totals.setdefault(lang, (np.zeros(FEATURES), np.zeros(len(_NAMES))))
+                used = np.flatnonzero(times)
+                for first, feature, form in _grouped([words.forms[i] for i in used]):
+                    groups += np.bincount(feature, times[used[first + form]], FEATURES)
+                letters += np.bincount(script, times * length, len(_NAMES))
+    for lang, found in totals.items():
+        for kind, counts in enumerate(found):
+            seen = np.flatnonzero(counts)
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "lang": pa.array([lang] * len(seen), pa.string()),
+                    "kind": pa.array(np.full(len(seen), kind, np.int32)),
+                    "place": pa.array(seen.astype(np.int32)),
+                    "n": pa.array(counts[seen].astype(np.int64)),
+                }
+            )
 
 
 def learn(docs: DataFrame, learn_from: int = LEARN_FROM) -> Model:
@@ -148,30 +159,30 @@ class Labeller:
         self.scored = np.zeros((0, len(model.languages)), np.float32)
         self.wide = np.zeros(0, bool)
 
-    def score_forms(self, forms: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Scores of each form in nats below its best language's, and whether its script is
-        one that some language uses. Languages that do not use the script are out; in a script
-        that none uses all languages score alike."""
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-            self.scored, self.wide = self.scored[:0], self.wide[:0]
+    def places(self, forms: list[str]) -> np.ndarray:
+        """Where the scores of each form are kept; new forms are scored first.
+
+        Scores are in nats below the form's best language. Languages that do not use its script
+        are out; in a script that none uses all languages score alike.
+        """
         new = [f for f in forms if f not in self.known]
         if new:
-            feature, form = letter_groups(new, 1, GROUP, FEATURES)
-            size = np.bincount(form, minlength=len(new))
             own = self.model.scripts[scripts_of(new)]
-            scores = np.stack(
-                [np.bincount(form, s[feature], len(new)) / size for s in self.model.scores.T], 1
-            ) * np.log1p(size)[:, None] * 2
-            scores = np.where(own, scores, -np.inf)
+            scores = np.zeros((len(new), len(self.model.languages)))
+            for at, feature, form in _grouped(new):
+                size = np.bincount(form)
+                part = slice(at, at + len(size))
+                for j, of_language in enumerate(self.model.scores.T):
+                    scores[part, j] = np.bincount(form, of_language[feature]) / size
+                scores[part] *= 2 * np.log1p(size)[:, None]
+            scores[~own] = -np.inf
             wide = own.any(1)
             scores[~wide] = 0
             scores = np.maximum(scores - scores.max(1, keepdims=True), -WORD_BOUND)
             self.known |= {f: len(self.known) + i for i, f in enumerate(new)}
             self.scored = np.concatenate([self.scored, scores.astype(np.float32)])
             self.wide = np.concatenate([self.wide, wide])
-        at = np.array([self.known[f] for f in forms], np.int64)
-        return self.scored[at], self.wide[at]
+        return np.array([self.known[f] for f in forms], np.int32)
 
     def viterbi(self, scores: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """The best language of every word: ``scores`` holds the words of one text after the
@@ -202,29 +213,33 @@ class Labeller:
 
     def label(self, texts: pa.Array) -> list[pa.Array]:
         """Language, score, supported share and spans of each text."""
-        words = split_words(texts)
         langs, n = self.model.languages, len(texts)
         predicted, score = np.full(n, UNKNOWN, object), np.zeros(n)
         supported, spans = np.zeros(n), [[] for _ in range(n)]
-        if len(words.form_of) and not langs:
-            words = words._replace(form_of=words.form_of[:0], text_of=words.text_of[:0])
-        if len(words.form_of):
-            size = np.array([len(f) for f in words.forms], float)[words.form_of]
-            scores, wide = self.score_forms(words.forms)
-            counts = np.bincount(words.text_of, minlength=n)
-            labels = self.viterbi(scores[words.form_of], counts)
-            letters = np.zeros((n, len(langs)))
-            np.add.at(letters, (words.text_of, labels), size)
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+            self.scored, self.wide = self.scored[:0], self.wide[:0]
+        found = [(np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.int32))]
+        for at, piece in _pieces(texts, PIECE_BYTES) if langs else ():
+            words = split_words(piece)
+            length = np.array([len(f) for f in words.forms], np.int32)
+            found.append((self.places(words.forms)[words.form_of], (at + words.text_of).astype(np.int32), length[words.form_of]))
+        place, text_of, size = (np.concatenate(x) for x in zip(*found))
+        if len(place):
+            counts = np.bincount(text_of, minlength=n)
+            labels = self.viterbi(self.scored[place], counts)
+            cell = text_of.astype(np.int64) * len(langs) + labels
+            letters = np.bincount(cell, size, n * len(langs)).reshape(n, len(langs))
             total = letters.sum(1)
             has = total > 0
             top = letters.argmax(1)
             predicted[has] = np.array(langs, object)[top[has]]
             score[has] = letters[has, top[has]] / total[has]
-            supported[has] = np.bincount(words.text_of, size * wide[words.form_of], n)[has] / total[has]
-            new = np.flatnonzero(np.diff(words.text_of, prepend=-1) | np.diff(labels, prepend=-1))
+            supported[has] = np.bincount(text_of, size * self.wide[place], n)[has] / total[has]
+            new = np.flatnonzero((np.diff(text_of, prepend=-1) != 0) | (np.diff(labels, prepend=-1) != 0))
             starts = np.cumsum(counts) - counts
             for a, b in zip(new, [*new[1:], len(labels)]):
-                text = words.text_of[a]
+                text = text_of[a]
                 spans[text].append({"first": int(a - starts[text]), "words": int(b - a), "lang": langs[labels[a]]})
         kind = pa.list_(pa.struct([("first", pa.int32()), ("words", pa.int32()), ("lang", pa.string())]))
         return [pa.array(predicted, pa.string()), pa.array(score), pa.array(supported), pa.array(spans, kind)]
