@@ -25,7 +25,7 @@ EXACT = 8
 LANES = 64
 #: The counters are kept modulo 2**31, the exact lanes modulo 2**32.
 _COUNT, _WORD = (1 << 31) - 1, (1 << 32) - 1
-#: Likeness of a sketch of this many lanes that unrelated texts rarely pass is taken as none.
+#: Slices of neighbouring ids for each partition, so that partitions are even.
 SLICES_PER_PARTITION = 4
 
 _PACKED = [f"c{j}" for j in range(LANES // 2)]
