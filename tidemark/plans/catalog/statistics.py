@@ -238,14 +238,14 @@ SAMPLE_SQL = f"""sample AS (SELECT * FROM daytime
 )
 def t11_pairs(spark, sf):
     """Points of the pair charts (sampling operator: 3,000 rows of each plant)."""
-    points = eda.pair_report(B.daytime(spark, sf), eda.TREND_PAIRS, ["event_id"], ["plant"])["points"]
+    points = eda.pair_report(B.daytime(spark, sf), eda.TREND_PAIRS, ["event_id"], ["plant"], ["points"])["points"]
     return points.withColumn("y", rd("y"))
 
 
 @query("t11_sample_trends", DEGREE_SELECT, [B.TELEMETRY_SQL, SAMPLE_SQL, _fits_sql("sample", "plant")])
 def t11_sample_trends(spark, sf):
     """Chosen trend of every pair chart, fitted on its sample."""
-    fits = eda.pair_report(B.daytime(spark, sf), eda.TREND_PAIRS, ["event_id"], ["plant"])["trends"]
+    fits = eda.pair_report(B.daytime(spark, sf), eda.TREND_PAIRS, ["event_id"], ["plant"], ["trends"])["trends"]
     return round_all(fits.select("plant", "pair", "best_degree", "r2"))
 
 
@@ -259,7 +259,7 @@ def t11_sample_trends(spark, sf):
     TELEMETRY,
 )
 def t11_axis_limits(spark, sf):
-    limits = eda.pair_report(B.daytime(spark, sf), eda.TREND_PAIRS, ["event_id"], ["plant"])["limits"]
+    limits = eda.pair_report(B.daytime(spark, sf), eda.TREND_PAIRS, ["event_id"], ["plant"], ["limits"])["limits"]
     return round_all(limits)
 
 

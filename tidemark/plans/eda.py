@@ -32,18 +32,24 @@ def correlations(day: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) ->
 
 
 def pair_report(
-    day: DataFrame, pairs: Sequence[tuple[str, str]], key: Sequence[str], by: Sequence[str] = ()
+    day: DataFrame,
+    pairs: Sequence[tuple[str, str]],
+    key: Sequence[str],
+    by: Sequence[str] = (),
+    parts: Sequence[str] = ("points", "trends", "curves", "limits"),
 ) -> dict[str, DataFrame]:
-    """Sampled points, trend on the sample, its curve, and axis limits over all rows."""
+    """Sampled points, trend on the sample, its curve, and axis limits over all rows; only the
+    ``parts`` asked for are planned, and the sample is drawn only for those that need it."""
     cols = sorted({c for pair in pairs for c in pair})
     rows = day.select(*by, *key, *cols)
-    sample = (
-        L.sample_per_group(rows, SAMPLE_SIZE, key, by) if by else L.sample_rows(rows, SAMPLE_SIZE, key)
-    )
-    trends = S.best_degree(sample, pairs, by)
-    return {
-        "points": S.point_pairs(sample, pairs, [*by, *key]),
-        "trends": trends,
-        "curves": S.degree_curve(trends, 300, by),
-        "limits": S.axis_limits(rows, cols, by),
-    }
+    out = {}
+    if "limits" in parts:
+        out["limits"] = S.axis_limits(rows, cols, by)
+    if {"points", "trends", "curves"} & set(parts):
+        sample = (
+            L.sample_per_group(rows, SAMPLE_SIZE, key, by) if by else L.sample_rows(rows, SAMPLE_SIZE, key)
+        )
+        out["points"] = S.point_pairs(sample, pairs, [*by, *key])
+        out["trends"] = S.best_degree(sample, pairs, by)
+        out["curves"] = S.degree_curve(out["trends"], 300, by)
+    return {part: out[part] for part in parts}
