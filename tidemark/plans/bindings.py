@@ -2,8 +2,8 @@
 
 No telemetry, customer or machine files exist here, so each is a projection of a
 given table: derived columns are plain arithmetic, and missing or repeated cells are
-created by rule. Every row of the source is used, but where a flow itself is given one
-of two systems (customers) or an hour without a reading (weather). ``*_SQL`` constants state the same
+created by rule. Every row of the source is used; only the weather lacks an hour, so
+that its join has rows without a match. ``*_SQL`` constants state the same
 definitions for the SQL engine the queries are checked with.
 """
 
@@ -120,7 +120,8 @@ system1 AS (
 system2 AS (
   SELECT c_custkey * 2 AS row_no, * FROM people WHERE c_custkey % 2 = 1
   UNION ALL
-  SELECT c_custkey * 2 + 1, * REPLACE ('99' AS Age) FROM people WHERE c_custkey % 15 = 0 AND c_custkey % 2 = 1)"""
+  SELECT c_custkey * 2 + 1, * REPLACE ('99' AS Age) FROM people WHERE c_custkey % 15 = 0 AND c_custkey % 2 = 1),
+systems AS (SELECT * FROM system1 UNION ALL SELECT * FROM system2)"""
 
 def people(spark: SparkSession, sf: str) -> DataFrame:
     key = F.col("c_custkey")
@@ -166,6 +167,11 @@ def system2(spark: SparkSession, sf: str) -> DataFrame:
     return _system(rows, F.col("c_custkey") % 15 == 0, "99")
 
 
+def systems(spark: SparkSession, sf: str) -> DataFrame:
+    """The customers of both systems."""
+    return system1(spark, sf).unionByName(system2(spark, sf))
+
+
 def padded(df: DataFrame) -> DataFrame:
     """The table as a spreadsheet holds it: a leading filler column and padded names."""
     return df.select(F.lit("x").alias("Unnamed"), *[F.col(c).alias(f" {c} ") for c in df.columns])

@@ -11,21 +11,22 @@ from tidemark.plans.catalog.base import query, r, rd, round_all
 SYSTEMS = [B.CUSTOMERS_SQL]
 FIRST_SQL = """first1 AS (
   SELECT * FROM system1 QUALIFY row_number() OVER (PARTITION BY CustomerID ORDER BY row_no) = 1)"""
+ANY_FIRST_SQL = FIRST_SQL.replace("first1", "first").replace("system1", "systems")
 
 
 @query(
     "p1_crop",
-    "SELECT * FROM system1 WHERE row_no > (SELECT max(row_no) FROM (SELECT row_no FROM system1 ORDER BY row_no LIMIT 1))",
+    "SELECT * FROM systems WHERE row_no > (SELECT max(row_no) FROM (SELECT row_no FROM systems ORDER BY row_no LIMIT 1))",
     SYSTEMS,
 )
 def p1_crop(spark, sf):
     """Drop one leading row and one leading column; padded names are trimmed (P2)."""
-    return P.crop(B.padded(B.system1(spark, sf)), 1, 1, ["` row_no `"])
+    return P.crop(B.padded(B.systems(spark, sf)), 1, 1, ["` row_no `"])
 
 
-@query("p2_trim_names", "SELECT 'x' AS \"Unnamed\", * FROM system2", SYSTEMS)
+@query("p2_trim_names", "SELECT 'x' AS \"Unnamed\", * FROM systems", SYSTEMS)
 def p2_trim_names(spark, sf):
-    return P.strip_names(B.padded(B.system2(spark, sf)))
+    return P.strip_names(B.padded(B.systems(spark, sf)))
 
 
 @query("p3_select", "SELECT o_orderkey, o_totalprice FROM orders")
@@ -85,49 +86,49 @@ def p9_drop_missing(spark, sf):
     return rows.na.drop(subset=["Age", "Email"])
 
 
-@query("p10_dedup_first", "SELECT * FROM first1", [*SYSTEMS, FIRST_SQL])
+@query("p10_dedup_first", "SELECT * FROM first", [*SYSTEMS, ANY_FIRST_SQL])
 def p10_dedup_first(spark, sf):
-    return P.dedupe(B.system1(spark, sf), ["CustomerID"], ["row_no"])
+    return P.dedupe(B.systems(spark, sf), ["CustomerID"], ["row_no"])
 
 
 @query(
     "p10_dedup_last",
-    """SELECT * FROM system1
+    """SELECT * FROM systems
       QUALIFY row_number() OVER (PARTITION BY CustomerID ORDER BY row_no DESC) = 1""",
     SYSTEMS,
 )
 def p10_dedup_last(spark, sf):
-    return P.dedupe(B.system1(spark, sf), ["CustomerID"], ["row_no"], keep="last")
+    return P.dedupe(B.systems(spark, sf), ["CustomerID"], ["row_no"], keep="last")
 
 
 @query(
     "p10_dedup_none",
-    "SELECT * FROM system1 QUALIFY count(*) OVER (PARTITION BY CustomerID) = 1",
+    "SELECT * FROM systems QUALIFY count(*) OVER (PARTITION BY CustomerID) = 1",
     SYSTEMS,
 )
 def p10_dedup_none(spark, sf):
-    return P.dedupe(B.system1(spark, sf), ["CustomerID"], ["row_no"], keep="none")
+    return P.dedupe(B.systems(spark, sf), ["CustomerID"], ["row_no"], keep="none")
 
 
 @query(
     "p10_removed_count",
-    """SELECT (SELECT count(*) FROM system1) AS rows_before, count(*) AS rows_after,
-      (SELECT count(*) FROM system1) - count(*) AS rows_removed FROM first1""",
-    [*SYSTEMS, FIRST_SQL],
+    """SELECT (SELECT count(*) FROM systems) AS rows_before, count(*) AS rows_after,
+      (SELECT count(*) FROM systems) - count(*) AS rows_removed FROM first""",
+    [*SYSTEMS, ANY_FIRST_SQL],
 )
 def p10_removed_count(spark, sf):
-    rows = B.system1(spark, sf)
+    rows = B.systems(spark, sf)
     return P.removed_rows(rows, P.dedupe(rows, ["CustomerID"], ["row_no"]))
 
 
-@query("p11_coerce", 'SELECT row_no, TRY_CAST(Age AS DOUBLE) AS "Age" FROM system1', SYSTEMS)
+@query("p11_coerce", 'SELECT row_no, TRY_CAST(Age AS DOUBLE) AS "Age" FROM systems', SYSTEMS)
 def p11_coerce(spark, sf):
-    return B.system1(spark, sf).select("row_no", X.to_number(F.col("Age")).alias("Age"))
+    return B.systems(spark, sf).select("row_no", X.to_number(F.col("Age")).alias("Age"))
 
 
 def _imputed(strategy):
     def run(spark, sf):
-        rows = P.impute(B.system1(spark, sf), "Age", strategy)
+        rows = P.impute(B.systems(spark, sf), "Age", strategy)
         return rows.select("row_no", rd("Age"))
 
     return run
@@ -138,7 +139,7 @@ def _imputed_sql(fill: str) -> str:
     return f'SELECT row_no, {r(f"coalesce(a, {rounded_fill})")} AS "Age" FROM ages'
 
 
-AGES_SQL = "ages AS (SELECT row_no, TRY_CAST(Age AS DOUBLE) AS a FROM system1)"
+AGES_SQL = "ages AS (SELECT row_no, TRY_CAST(Age AS DOUBLE) AS a FROM systems)"
 for _name, _strategy, _fill in [
     ("p12_impute_mean", "mean", "avg(a)"),
     ("p12_impute_median", "median", "median(a)"),
@@ -161,7 +162,7 @@ query(
 )
 def p13_bucket(spark, sf):
     age = X.to_number(F.col("Age"))
-    return B.system1(spark, sf).select("row_no", X.age_group(age).alias("AgeGroup"))
+    return B.systems(spark, sf).select("row_no", X.age_group(age).alias("AgeGroup"))
 
 
 @query(
@@ -258,12 +259,12 @@ def u1_union_missing_columns(spark, sf):
 @query(
     "p18_optional_columns",
     """SELECT row_no, split_part(CustomerID, '_', 2) AS "CustomerID",
-      split_part(CustomerID, '_', 1) AS "CustomerGroup" FROM system2""",
+      split_part(CustomerID, '_', 1) AS "CustomerGroup" FROM systems""",
     SYSTEMS,
 )
 def p18_optional_columns(spark, sf):
     """The transformation skips every column a table lacks."""
-    return C.transform(B.system2(spark, sf).select("row_no", "CustomerID"))
+    return C.transform(B.systems(spark, sf).select("row_no", "CustomerID"))
 
 
 @query(
