@@ -32,7 +32,7 @@ LEAST_DOCUMENTS, LEAST_EVIDENCE = 3, 16.0
 #: Strength of the penalty on changes under a swap, and on the squared weights.
 SWAP_PENALTY, WEIGHT_PENALTY = 1.0, 1e-4
 STEPS, STEP_SIZE = 250, 0.1
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 #: Names of groups by kind; the first of each kind is its neutral word (fixed values).
 IDENTITIES = (
     ("person", "man", "woman", "boy", "girl", "male", "female", "transgender", "nonbinary"),
@@ -130,20 +130,14 @@ def _lists(text: np.ndarray, feature: np.ndarray, n: int) -> list[np.ndarray]:
 
 
 class _Rows:
-    """Sparse rows of signed units."""
+    """Sparse rows of signed units over ``width`` columns."""
 
-    def __init__(self, plus: Sequence[np.ndarray], minus: Sequence[np.ndarray] | None = None):
-        lists = [plus] if minus is None else [plus, minus]
-        self.n, self.width = len(plus), FEATURES
-        self.column = np.concatenate([np.zeros(0, np.int64), *(np.asarray(x, np.int64) for side in lists for x in side)])
-        self.row = np.concatenate([np.repeat(np.arange(self.n), [len(x) for x in side]) for side in lists])
-        self.sign = np.concatenate([np.full(sum(map(len, side)), s, float) for side, s in zip(lists, (1, -1))])
-
-    def keep(self, columns: np.ndarray) -> None:
-        """Leave only these columns, numbered anew."""
-        at = columns[self.column]
-        self.column, self.row, self.sign = self.column[at], self.row[at], self.sign[at]
-        self.column, self.width = (np.cumsum(columns) - 1)[self.column], int(columns.sum())
+    def __init__(self, width: int, plus: Sequence[np.ndarray], minus: Sequence[np.ndarray] = ()):
+        lists = [*plus, *minus]
+        self.n, self.width = len(plus), width
+        self.column = np.concatenate([np.zeros(0, np.int64), *lists])
+        self.row = np.repeat(np.arange(len(lists)) % max(1, self.n), [len(x) for x in lists])
+        self.sign = np.repeat([1.0] * self.n + [-1.0] * len(minus), [len(x) for x in lists])
 
     def times(self, weights: np.ndarray) -> np.ndarray:
         return np.bincount(self.row, weights[self.column] * self.sign, self.n)
@@ -156,10 +150,13 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * x))
 
 
-def _telling(own: _Rows, y: np.ndarray) -> np.ndarray:
+def _telling(own: Sequence[np.ndarray], y: np.ndarray) -> np.ndarray:
     """Which features the labels depend on."""
     n, ones = len(y), y.sum()
-    total, toxic = own.back(np.ones(n)), own.back(y)
+    total, toxic = np.zeros(FEATURES), np.zeros(FEATURES)
+    for features_of, label in zip(own, y):  # each feature at most once in a document
+        total[features_of] += 1
+        toxic[features_of] += label
     spread = total * (n - total) * ones * (n - ones)
     evidence = n * (toxic * n - total * ones) ** 2 / np.maximum(spread, 1)
     return (total >= LEAST_DOCUMENTS) & (spread > 0) & (evidence >= LEAST_EVIDENCE)
@@ -169,7 +166,13 @@ def fit(examples: pd.DataFrame, share: dict[int, float], swap_penalty: float = S
     """Minimise the weighted log loss, the squared score changes under swaps and the squared
     weights. ``share`` is the share of each label among all labelled documents."""
     y = examples["toxic"].to_numpy(float)
-    own = _Rows(list(examples["own"]))
+    telling = _telling(examples["own"], y)
+    place, width = np.cumsum(telling) - 1, int(telling.sum())
+
+    def kept(lists: pd.Series) -> list[np.ndarray]:
+        return [place[x[telling[x]]] for x in lists]
+
+    own = _Rows(width, kept(examples["own"]))
     weight = np.zeros(len(y))
     for label, of_all in share.items():
         mine = y == label
@@ -178,12 +181,9 @@ def fit(examples: pd.DataFrame, share: dict[int, float], swap_penalty: float = S
     for column in ("other", "neutral"):
         has = examples[column].notna().to_numpy()
         if has.any():
-            rows = _Rows(list(examples.loc[has, column]), list(examples.loc[has, "own"]))
+            rows = _Rows(width, kept(examples.loc[has, column]), kept(examples.loc[has, "own"]))
             changes.append((rows, np.full(rows.n, 1 / rows.n)))
-    telling = _telling(own, y)
-    for rows in (own, *(r for r, _ in changes)):
-        rows.keep(telling)
-    theta, first, second = (np.zeros(own.width + 1) for _ in range(3))
+    theta, first, second = (np.zeros(width + 1) for _ in range(3))
     for step in range(1, STEPS + 1):
         weights, bias = theta[:-1], theta[-1]
         error = weight * (_sigmoid(own.times(weights) + bias) - y)
