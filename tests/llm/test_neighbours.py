@@ -57,6 +57,15 @@ def test_ties_copies_and_lengths(spark, monkeypatch, shard):
     assert found(df) == brute([r[:2] for r in rows])
 
 
+def test_many_distinct_vectors_tie(spark):
+    # pairs of 40 components: most score 0 or 1, far more than k tie, the smallest ids lie anywhere
+    ids = np.random.default_rng(6).permutation(780)
+    pairs = [(a, b) for a in range(40) for b in range(a)]
+    rows = [(int(i), [float(d in pair) for d in range(40)], 0) for i, pair in zip(ids, pairs)]
+    rows += [(21, rows[5][1], 0), (41, rows[6][1], 0), rows[7]]  # an id with two vectors, a repeated row
+    assert found(spark.createDataFrame(rows, SCHEMA)) == brute([r[:2] for r in rows])
+
+
 def test_relaxed_search_has_recall(spark):
     df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     exact = {(q, i) for q, _, i, _ in found(df)}

@@ -27,8 +27,6 @@ SHARD_ROWS, BLOCK_ROWS = 8192, 2048
 LEAF = 64
 #: Vantage points tried for a node, and vectors they are judged by.
 TRIED, JUDGED = 4, 64
-#: Vectors kept beyond k until their scores are worked out exactly.
-SPARE = 12
 FACTOR = 1.0
 
 
@@ -56,6 +54,7 @@ def build(ids: np.ndarray, vectors: np.ndarray, seed: int = 0) -> Tree:
     rows = np.ascontiguousarray(vectors).view(np.dtype((np.void, vectors.dtype.itemsize * vectors.shape[1]))).ravel()
     _, first, entry = np.unique(rows, return_index=True, return_inverse=True)
     order = np.lexsort((ids, entry))
+    order = order[np.append(True, (np.diff(entry[order]) != 0) | (np.diff(ids[order]) != 0))]
     ids_of = np.split(ids[order], np.flatnonzero(np.diff(entry[order])) + 1)
     points = vectors[first]
     square = np.einsum("ij,ij->i", points, points)
@@ -87,29 +86,57 @@ def build(ids: np.ndarray, vectors: np.ndarray, seed: int = 0) -> Tree:
     return Tree(points[place], [ids_of[i] for i in place], length, np.array(vantage), *map(np.array, rest))
 
 
-def search(tree: Tree, queries: np.ndarray, k: int, factor: float) -> tuple[np.ndarray, np.ndarray]:
+def search(
+    tree: Tree, own: np.ndarray, queries: np.ndarray, k: int, factor: float
+) -> tuple[np.ndarray, np.ndarray]:
     """(scores, entries) of the ``k`` best entries for each query, best first; -1 pads.
 
+    Entries are ranked by score, then by their smallest id that is not the query's ``own``; one
+    without such an id is left out. So the k best rows are among the entries. Matrix products
+    only tell which scores to work out, as sums in order of the components: equal vectors score
+    equally, and rounding breaks no tie.
+
     Each query first goes down to the leaf on its own side of every node, which bounds its k-th
     best distance. Then all queries go through the tree together; one takes part in a side only
     if that side begins within ``factor`` times its k-th best distance.
     """
-    n, k = len(queries), min(k, len(tree.vectors))
+    n, k, width = len(queries), min(k, len(tree.vectors)), queries.shape[1]
     score, best, home = np.full((n, k), -np.inf), np.full((n, k), -1), np.full(n, -1)
+    none = np.iinfo(np.int64).max  # stands beside a score of -inf only
+    least = np.full((n, k), none)
+    first, single = np.array([x[0] for x in tree.ids]), np.array([len(x) == 1 for x in tree.ids])
+    second = np.array([x[min(1, len(x) - 1)] for x in tree.ids])
     longer = np.column_stack([queries, np.zeros(n)])
-    base = np.einsum("ij,ij->i", queries, queries) + tree.length
+    square = np.einsum("ij,ij->i", queries, queries)
+    base = square + tree.length
+    rounding = 16 * (width + 8) * np.finfo(float).eps
+    slack, far_slack = rounding * np.sqrt(square * tree.length), 2 * np.sqrt(rounding * base)
 
     def compare(leaf: int, active: np.ndarray) -> None:
         a, b = tree.start[leaf], tree.stop[leaf]
         found = longer[active] @ tree.vectors[a:b].T
-        better = (found > score[active, -1][:, None]).any(1)
-        rows = active[better]
-        if not len(rows):
+        row, column = np.nonzero(found >= (score[active, -1] - slack[active])[:, None])
+        at, entry = active[row], a + column
+        mine = first[entry] == own[at]
+        some = ~(mine & single[entry])
+        row, column, at, entry, mine = (x[some] for x in (row, column, at, entry, mine))
+        exact = np.zeros(len(at))
+        for d in range(width):
+            exact += queries[at, d] * tree.vectors[entry, d]
+        ids = np.where(mine, second[entry], first[entry])
+        last = score[at, -1]
+        better = (exact > last) | ((exact == last) & (ids < least[at, -1]))
+        if not better.any():
             return
-        scores = np.concatenate([score[rows], found[better]], 1)
-        entries = np.concatenate([best[rows], np.broadcast_to(np.arange(a, b), (len(rows), b - a))], 1)
-        top = np.argsort(-scores, axis=1, kind="stable")[:, :k]
-        score[rows], best[rows] = np.take_along_axis(scores, top, 1), np.take_along_axis(entries, top, 1)
+        of, row = np.unique(row[better], return_inverse=True)
+        rows, column = active[of], k + column[better]
+        scores, entries, tied = (
+            np.concatenate([old[rows], np.full((len(rows), b - a), empty)], 1)
+            for old, empty in ((score, -np.inf), (best, -1), (least, none))
+        )
+        scores[row, column], entries[row, column], tied[row, column] = exact[better], entry[better], ids[better]
+        top = np.lexsort((tied, -scores), axis=1)[:, :k]
+        score[rows], best[rows], least[rows] = (np.take_along_axis(x, top, 1) for x in (scores, entries, tied))
 
     def beyond(node: int, active: np.ndarray) -> np.ndarray:
         """How far outside the near side each query lies."""
@@ -118,7 +145,7 @@ def search(tree: Tree, queries: np.ndarray, k: int, factor: float) -> tuple[np.n
 
     def reach(active: np.ndarray) -> np.ndarray:
         square = base[active] - 2 * score[active, -1]
-        return factor * np.sqrt(np.maximum(square, 0)) + 1e-9 * np.sqrt(base[active])
+        return factor * np.sqrt(np.maximum(square, 0)) + far_slack[active]
 
     todo = [(0, np.arange(n))]
     while todo:
@@ -150,15 +177,8 @@ def search(tree: Tree, queries: np.ndarray, k: int, factor: float) -> tuple[np.n
 
 
 def nearest(tree: Tree, own: np.ndarray, queries: np.ndarray, k: int, factor: float) -> pd.DataFrame:
-    """query_id, vec_id, score of the k best rows of a shard other than the query's own.
-
-    Scores are sums of products in order of the components, so equal vectors score equally.
-    """
-    score, best = search(tree, queries, k + 1 + SPARE, factor)
-    width = tree.vectors.shape[1] - 1
-    exact = np.zeros(best.shape)
-    for d in range(width):
-        exact += queries[:, d, None] * tree.vectors[best, d]
+    """query_id, vec_id, score of the k best rows of a shard other than the query's own."""
+    score, best = search(tree, own, queries, k, factor)
     row, column = np.nonzero(best >= 0)
     entry = best[row, column]
     # more than k + 1 ids of one vector cannot be among the k best
@@ -166,7 +186,7 @@ def nearest(tree: Tree, own: np.ndarray, queries: np.ndarray, k: int, factor: fl
     ids = np.concatenate([x[: k + 1] for x in tree.ids])
     first, many = (np.cumsum(size) - size)[entry], size[entry]
     at = np.repeat(first - (np.cumsum(many) - many), many) + np.arange(many.sum())
-    row, vec, of = np.repeat(row, many), ids[at], np.repeat(exact[row, column], many) + 0.0
+    row, vec, of = np.repeat(row, many), ids[at], np.repeat(score[row, column], many) + 0.0
     other = vec != own[row]
     row, vec, of = row[other], vec[other], of[other]
     order = np.lexsort((vec, -of, row))
