@@ -73,6 +73,20 @@ def test_scripts_narrow_candidates(spark):
     assert got[3].supported == 0 and got[0].supported == 1
 
 
+def test_one_word_of_another_script_is_a_span(spark):
+    rows = [(i, t, lang, "s", 1) for i, (t, lang) in enumerate(
+        [("привет мир это русский текст", "ru"), ("hello world this is text", "en"), ("wort und noch ein satz", "de"), ("中文文本在这里", "zh")] * 5)]
+    model = language.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"))
+    texts = ["hello world this мир is text", "это русский 文 мир", "文 hello", "hello world שלום this is text"]
+    got = {r.doc_id: r for r in language.identify(documents(spark, texts), model).collect()}
+    spans = [[(s.first, s.words, s.lang) for s in got[i].spans] for i in range(4)]
+    assert spans == [
+        [(0, 3, "en"), (3, 1, "ru"), (4, 2, "en")], [(0, 2, "ru"), (2, 1, "zh"), (3, 1, "ru")],
+        [(0, 1, "zh"), (1, 1, "en")], [(0, 6, "en")],
+    ]
+    assert got[3].supported < 1 and got[0].supported == got[1].supported == 1
+
+
 def test_awkward_rows(spark, model, monkeypatch):
     rows = clashing(awkward(spark))
     got = language.identify(rows, model, keep=("doc_id", "lang", "score")[:2]).collect()

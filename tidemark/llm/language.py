@@ -175,10 +175,11 @@ class Labeller:
                 for j, of_language in enumerate(self.model.scores.T):
                     scores[part, j] = np.bincount(form, of_language[feature]) / size
                 scores[part] *= 2 * np.log1p(size)[:, None]
-            scores[~own] = -np.inf
             wide = own.any(1)
+            scores[~own] = -np.inf
             scores[~wide] = 0
             scores = np.maximum(scores - scores.max(1, keepdims=True), -WORD_BOUND)
+            scores[~own & wide[:, None]] = -np.inf  # the bound holds among the candidates only
             self.known |= {f: len(self.known) + i for i, f in enumerate(new)}
             self.scored = np.concatenate([self.scored, scores.astype(np.float32)])
             self.wide = np.concatenate([self.wide, wide])
