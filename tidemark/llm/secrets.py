@@ -1,8 +1,9 @@
 """Secret scan with multipart credential linking, in SQL functions only.
 
 Base patterns are reported wherever they stand. Weak parts (a user or key name, a bare random
-token, an endpoint) are reported only where complementary parts of a credential stand within
-reach of each other; an interval join finds those.
+token, an endpoint, a match too short for a base pattern) are reported only where complementary
+parts of a credential stand within reach of each other, which an interval join finds, or in one
+block of settings (lines of keys and values, JSON), however long.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ _VALUE = r"^(?i:(?:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"
 
 #: In the order in which kinds of one start are listed. A run of 16 or more hex digits, or of
 #: 18 or more characters from AKIA on, is the whole match of the open-ended pattern; for the
-#: assignments the short values must be matched first and dropped later.
+#: assignments the short values must be matched first and become weak parts later.
 KINDS = (
     Kind("assign", _ASSIGN, "secret", True, 12),
     Kind("access", r"AKIA[A-Z0-9]{14,}", "identifier", True),
@@ -52,9 +53,21 @@ KINDS = (
         "endpoint",
         False,
     ),
+    Kind("short_access", r"AKIA[A-Z0-9]{1,13}(?![A-Z0-9])", "identifier", False),
+    Kind("short_hex", r"(?<![A-Za-z0-9+/_.-])[0-9a-f]{8,15}(?![A-Za-z0-9+/_-])", "secret", False),
+    # not a part: runs of lines that begin with a key and its sign, or hold brackets only
+    Kind(
+        "block",
+        r"(?m)(?:^[\x20\t]*+(?:[{\[,\x20\t-]*+(?:export\x20)?[\"']?[\w.$-]++[\"']?[\x20\t]*+[:=][^\n]*+"
+        r"|[\]\[{}(),;\x20\t]*+[\]\[{}][\]\[{}(),;\x20\t]*+$)\n?+)++",
+        "block",
+        False,
+    ),
 )
+#: What an assignment whose value is too short for the base pattern is.
+SHORT = Kind("short_assign", "", "secret", False)
 BASE = ("assign", "access", "hex")
-#: Code points between two parts that may belong to one credential.
+#: Code points between two parts outside of blocks that may belong to one credential.
 REACH = 200
 
 
@@ -94,11 +107,12 @@ def find_parts(docs: DataFrame, key: list[str]) -> DataFrame:
     )
     so_far = W.partitionBy(*key, "ord").orderBy("pos").rowsBetween(W.unboundedPreceding, 0)
     ends = hits.withColumn("end", F.sum(F.col("hit.gap") + F.col("hit.size")).over(so_far))
+    ends = ends.withColumn("ord", F.when(F.col("hit.kept"), F.col("ord")).otherwise(len(KINDS)))
     names, roles, strong = (
         F.array(*[F.lit(v) for v in column])
-        for column in zip(*[(k.name, k.role, k.strong) for k in KINDS])
+        for column in zip(*[(k.name, k.role, k.strong) for k in (*KINDS, SHORT)])
     )
-    return ends.where("hit.kept").select(
+    return ends.select(
         *key,
         "ord",
         names[F.col("ord")].alias("kind"),
@@ -112,21 +126,36 @@ def find_parts(docs: DataFrame, key: list[str]) -> DataFrame:
 def link_parts(parts: DataFrame, key: list[str], reach: int = REACH) -> DataFrame:
     """The weak ``parts`` that belong to a credential, by an interval join within the scope.
 
-    Two parts meet if at most ``reach`` code points lie between them. A name needs a secret, a
-    bare token needs an identifier or an endpoint, an endpoint needs both others. A bare token
-    inside a base match is not reported again. Parts meet in bins of ``reach`` characters, so
+    Two parts meet if at most ``reach`` code points lie between them, or in a block. An identifier
+    needs a secret, a secret an identifier or an endpoint, an endpoint both others. A bare token
+    inside a base match is not reported again, a short match not inside any other part. Parts
+    outside of blocks meet in bins of ``reach`` characters, so
     a bin holds few parts however many a document has.
     """
     def bins(first: Column, last: Column) -> Column:
         return F.explode(F.sequence(F.floor(first / reach), F.floor(last / reach)))
 
+    roles = ("identifier", "secret", "endpoint")
+    # blocks do not overlap, so the last one that began is the only one a part can be in
+    so_far = W.partitionBy(*key).orderBy("start", F.col("role") != "block").rowsBetween(W.unboundedPreceding, 0)
+    is_block = F.col("role") == "block"
+    placed = parts.withColumn("block", F.max(F.when(is_block, F.col("start"))).over(so_far)).withColumn(
+        "until", F.max(F.when(is_block, F.col("end"))).over(so_far)
+    )
+    placed = placed.withColumn("block", F.when(F.col("end") <= F.col("until"), F.col("block"))).where(~is_block)
+    together = W.partitionBy(*key, "block")
+    for r in roles:
+        within = F.col("block").isNotNull() & F.max(F.col("role") == r).over(together)
+        placed = placed.withColumn(f"with_{r}", within)
+    parts = placed
     weak = parts.where(~F.col("strong")).select(
-        *key, "ord", "kind", "role", "start", "end",
+        *key, "ord", "kind", "role", "start", "end", *[f"with_{r}" for r in roles],
         bins(F.greatest(F.col("start") - reach, F.lit(0)), F.col("end") + reach).alias("bin"),
     )
     near = parts.select(
         *key,
         bins(F.col("start"), F.col("end")).alias("bin"),
+        F.col("ord").alias("o_ord"),
         F.col("role").alias("o_role"),
         F.col("strong").alias("o_strong"),
         F.col("start").alias("o_start"),
@@ -135,13 +164,14 @@ def link_parts(parts: DataFrame, key: list[str], reach: int = REACH) -> DataFram
     meet = weak.join(near, [*key, "bin"]).where(
         (F.col("o_start") <= F.col("end") + reach) & (F.col("o_end") >= F.col("start") - reach)
     )
-    inside = F.col("o_strong") & (F.col("o_start") <= F.col("start")) & (F.col("o_end") >= F.col("end"))
+    short = F.col("kind").startswith("short_")
+    inside = (F.col("o_strong") | (short & (F.col("o_ord") != F.col("ord")))) & (F.col("o_start") <= F.col("start")) & (F.col("o_end") >= F.col("end"))
     seen = meet.groupBy(*key, "ord", "kind", "role", "start", "end").agg(
-        *[F.max(F.col("o_role") == r).alias(f"has_{r}") for r in ("identifier", "secret", "endpoint")],
+        *[F.max((F.col("o_role") == r) | F.col(f"with_{r}")).alias(f"has_{r}") for r in roles],
         F.max(inside).alias("inside"),
     )
     complete = (
-        F.when(F.col("role") == "identifier", F.col("has_secret"))
+        F.when(F.col("role") == "identifier", F.col("has_secret") & ~(short & F.col("inside")))
         .when(F.col("role") == "secret", (F.col("has_identifier") | F.col("has_endpoint")) & ~F.col("inside"))
         .otherwise(F.col("has_identifier") & F.col("has_secret"))
     )
@@ -182,7 +212,7 @@ def redact(docs: DataFrame, reach: int = REACH) -> DataFrame:
     """``docs`` with every span in ``text`` replaced by its kind in brackets, overlapping spans
     by the first one's; all columns are kept. Only documents with a match are moved."""
     matches = F.lit(False)
-    for kind in KINDS:
+    for kind in (k for k in KINDS if k.role != "block"):
         matches = matches | F.col("text").rlike(kind.pattern)
     matches = F.coalesce(matches, F.lit(False))
     some = docs.where(matches).select(F.struct("*").alias("doc"), "doc_id", "text")
