@@ -114,3 +114,29 @@ def test_real_files_and_odd_rows(spark, tmp_path):
     assert len(joined) == docs.count() and all(r.n_tokens == want[r.doc_id] for r in joined)
     none, _ = token_counts.write_flat(docs.limit(0), RANKS, public_tokenizers.PATTERN, queries.END_OF_TEXT)
     assert token_counts.scan(none, queries.END_OF_TEXT).count() == 0
+
+
+@pytest.mark.parametrize("width, cut, size", [(2, 10, 17), (4, 0, 33), (1, 9, 1 << 20)])
+def test_flat_files_are_read_in_splits(spark, tmp_path, width, cut, size):
+    draw, want = np.random.default_rng(size), {}
+    for name, n, first in (("a", 40, b""), ("b", 41, b"\xef\xbb\xbf\x0a"), ("c", 1, b"")):
+        pool = np.array([0, 9, 10, 196, 255, 0x0A0A, 0xC450, 0x0900, 0xBBEF], np.int64) % (1 << 8 * width)
+        tokens = first + draw.choice(pool, n).astype(f"<u{width}").tobytes() + (b"\x05" * width if name == "b" else b"")
+        (tmp_path / f"{name}.bin").write_bytes(tokens)
+        want[name] = tokens
+    for key, value in (("maxPartitionBytes", size), ("openCostInBytes", 1)):
+        spark.conf.set(f"spark.sql.files.{key}", str(value))
+    try:
+        files = token_counts.read_flat(spark, str(tmp_path), block=16, width=width, cut=cut)
+        rows = sorted(files.collect(), key=lambda r: (r.file, r.block))
+        got = token_counts.scan(files, 9, width).collect()
+    finally:
+        for key in ("maxPartitionBytes", "openCostInBytes"):
+            spark.conf.unset(f"spark.sql.files.{key}")
+    assert len({(r.file, r.block) for r in rows}) == len(rows) and all(0 < len(r.payload) <= 16 * width for r in rows)
+    for name, tokens in want.items():
+        assert b"".join(r.payload for r in rows if r.file.endswith(f"{name}.bin")) == tokens
+        flat = np.frombuffer(tokens, f"<u{width}")
+        ends = [-1, *np.flatnonzero(flat == 9)] + ([len(flat)] if flat[-1] != 9 else [])
+        mine = sorted((r.ordinal, r.first_token, r.n_tokens) for r in got if r.file.endswith(f"{name}.bin"))
+        assert mine == [(i, int(a) + 1, int(b - a) - 1) for i, (a, b) in enumerate(zip(ends, ends[1:]))]

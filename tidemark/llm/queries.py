@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.llm import bpe, fingerprints, jaccard_join, language, mixing, neighbours, secrets, token_counts, toxicity, url_filter
-from tidemark.llm.common import drop_tables, held_out, table
+from tidemark.llm.common import drop_tables, held_out, new_table, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -110,7 +110,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     ranks = public_tokenizers.path(TOKEN_RANKS)
     files, manifest = token_counts.write_flat(docs, ranks, public_tokenizers.PATTERN, END_OF_TEXT)
-    counts = token_counts.scan(files, END_OF_TEXT)
+    path = new_table(spark)
+    token_counts.write_files(files, path, END_OF_TEXT)
+    counts = token_counts.scan(token_counts.read_flat(spark, path, cut=END_OF_TEXT >> 8), END_OF_TEXT)
+    counts = counts.withColumn("file", F.regexp_extract("file", r"/file=(\d+)/[^/]*$", 1).cast("int"))
     return counts.join(manifest, ["file", "ordinal"], "left").select(
         "doc_id", "file", "ordinal", "first_token", "n_tokens", "terminated"
     )

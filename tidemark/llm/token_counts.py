@@ -39,7 +39,7 @@ def write_flat(
     docs: DataFrame, ranks: str, pattern: str, end: int, block: int = BLOCK, width: int = WIDTH
 ) -> tuple[DataFrame, DataFrame]:
     """Flat token files of ``docs`` (doc_id, text), one for each partition, as a table of blocks
-    (file, block, payload), and which document is the how-manieth of a file (file, ordinal,
+    of whole documents, ``block`` tokens or more, (file, block, payload), and which document is the how-manieth of a file (file, ordinal,
     doc_id). Null and empty texts are documents without tokens."""
     kind = np.dtype(f"<u{width}")
     names = ["file", "place", "doc_id", "payload"]
@@ -64,10 +64,8 @@ def write_flat(
                 held.append(np.append(np.array(tokens, kind), kind.type(end)))
                 size += len(held[-1])
                 if size >= block:
-                    flat = np.concatenate(held)
-                    many = size // block
-                    yield rows(range(written, written + many), [None] * many, [flat[i * block : (i + 1) * block].tobytes() for i in range(many)])
-                    written, held, size = written + many, [flat[many * block :]], size % block
+                    yield rows([written], [None], [np.concatenate(held).tobytes()])
+                    written, held, size = written + 1, [], 0
         if size:
             yield rows([written], [None], [np.concatenate(held).tobytes()])
 
@@ -76,17 +74,133 @@ def write_flat(
     return files, table.where("payload IS NULL").select("file", F.col("place").alias("ordinal"), "doc_id")
 
 
-def read_flat(spark: SparkSession, path: str, block: int = BLOCK, width: int = WIDTH) -> DataFrame:
-    """Blocks (file, block, payload) of the flat token files below ``path``; a file is named by
-    its path and read as one value, so it must be below 2 GB."""
-    files = spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"), "length", "content")
-    step = block * width
-    blocks = F.sequence(F.lit(0).cast("long"), F.floor((F.col("length") - 1) / step))
-    return files.where("length > 0").select("file", F.explode(blocks).alias("block"), "content").select(
-        "file", "block", F.substring("content", (F.col("block") * step + 1).cast("int"), F.lit(step)).alias("payload")
+def write_files(files: DataFrame, path: str, end: int, width: int = WIDTH) -> None:
+    """Plain flat token files ``path``/file=N/part-... of a table (file, block, payload) whose
+    payloads end with the identifier ``end``; nothing but the payloads is in them."""
+    body = F.col("payload").substr(F.lit(1), F.length("payload") - width).cast("string")
+    (
+        files.repartition("file")
+        .sortWithinPartitions("file", "block")
+        .select("file", body.alias("body"))
+        .write.partitionBy("file")
+        .option("encoding", "ISO-8859-1")
+        .option("lineSep", end.to_bytes(width, "little").decode("latin-1"))
+        .text(path)
     )
 
 
+def _lines(spark: SparkSession, path: str, cut: int) -> DataFrame:
+    """(file, split, size, line) of the files below ``path``, in order within a split."""
+    key = "spark.sql.files.minPartitionNum"
+    if spark.conf.get(key, None) is None:  # splits must be the same whenever the files are read
+        spark.conf.set(key, str(spark.sparkContext.defaultParallelism))
+    text = spark.read.option("encoding", "ISO-8859-1").option("lineSep", chr(cut)).text(path)
+    return document_batches(text).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("split"),
+        F.col("_metadata.file_size").alias("size"),
+        F.col("value").cast("binary").alias("line"),
+    )
+
+
+def _runs(batch: pa.RecordBatch) -> Iterator[tuple[tuple[str, int], pa.RecordBatch]]:
+    """The rows of one split after another."""
+    file = batch.column("file").dictionary_encode().indices.to_numpy()
+    split = batch.column("split").to_numpy()
+    new = np.flatnonzero((np.diff(file, prepend=-1) != 0) | (np.diff(split, prepend=-1) != 0))
+    for a, b in zip(new, [*new[1:], len(split)]):
+        yield (batch.column("file")[a].as_py(), int(split[a])), batch.slice(a, b - a)
+
+
+#: Bytes at the start of a file that Hadoop's line reader leaves out.
+_MARK = b"\xef\xbb\xbf"
+
+
+def read_flat(spark: SparkSession, path: str, block: int = BLOCK, width: int = WIDTH, cut: int = 10) -> DataFrame:
+    """Blocks (file, block, payload) of the flat token files below ``path``, in any store that
+    Spark reads; a file is named by its path and may have any size.
+
+    A file is read in splits, as lines that end at the byte ``cut`` (not at a meaning of it), of
+    which each must fit a row; a byte of the end identifier that is rare elsewhere is a good
+    one. A first reading counts the bytes of each split. So the second knows where in the file
+    a split begins, and leaves the rest of a token that began in the split before to that one.
+    Blocks are whole tokens, at most ``block`` of them, numbered in order within a file.
+    """
+    sign, step, edge = bytes([cut]), block * width, width - 1
+
+    def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[tuple[str, int], list] = {}
+        for batch in batches:
+            for key, part in _runs(batch):
+                lines = part.column("line")
+                row = found.setdefault(key, [part.column("size")[0].as_py(), 0, b""])
+                row[1] += sum(map(len, lines.to_pylist())) + len(lines)
+                if len(row[2]) < edge:
+                    row[2] = (row[2] + b"".join(x + sign for x in lines.slice(0, edge).to_pylist()))[:edge]
+        columns = [*zip(*[(*key, *row) for key, row in found.items()])] or [()] * 5
+        kinds = pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.binary()
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["file", "split", "size", "n", "head"])
+
+    splits = _lines(spark, path, cut).mapInArrow(measured, "file string, split long, size long, n long, head binary")
+    in_file = W.partitionBy("file").orderBy("split")  # one row for each split
+    before = F.coalesce(F.sum("n").over(in_file.rowsBetween(W.unboundedPreceding, -1)), F.lit(0).cast("long"))
+    # all lines end with the sign, the last one of a file perhaps only here
+    off = F.col("size") - F.sum("n").over(W.partitionBy("file"))
+    mark = F.when(off.isin(0, -1), 0).when(off.isin(len(_MARK), len(_MARK) - 1), len(_MARK)).otherwise(
+        F.raise_error(F.concat(F.lit("bytes of a flat file are missing: "), F.col("file"))).cast("int")
+    )
+    nothing = F.lit(b"")
+    behind = F.concat(nothing, *[F.coalesce(F.lead("head", i).over(in_file), nothing) for i in range(1, width)])
+    splits = splits.select(
+        "file", "split", before.alias("before"), mark.alias("mark"), behind.alias("behind"), (F.row_number().over(in_file) - 1).alias("nth")
+    )
+    joined = _lines(spark, path, cut).join(F.broadcast(splits), ["file", "split"], "left")
+
+    def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, file, held, at, skip, size, nth, behind = None, "", bytearray(), 0, 0, 0, 0, b""
+
+        def blocks(last: bool) -> Iterator[pa.RecordBatch]:
+            nonlocal at, skip
+            del held[max(0, size - at) :]
+            if skip and (last or len(held) > skip):
+                gone = min(skip, len(held))
+                del held[:gone]
+                at, skip = at + gone, skip - gone
+            if last and held:
+                held.extend(behind[: min(-(at + len(held)) % width, size - at - len(held))])
+            rows = []
+            while held and not skip:
+                upto = (at // step + 1) * step - at
+                if len(held) < upto and not last:
+                    break
+                rows.append((file, at // step + nth, bytes(held[:upto])))
+                at += len(rows[-1][2])
+                del held[:upto]
+            if rows:
+                names, numbers, payloads = zip(*rows)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(names, pa.string()), pa.array(numbers, pa.int64()), pa.array(payloads, pa.binary())],
+                    ["file", "block", "payload"],
+                )
+
+        for batch in batches:
+            for key, part in _runs(batch):
+                if key != now:
+                    yield from blocks(True)
+                    now, file = key, key[0]
+                    size, start, mark, nth, behind = (part.column(c)[0].as_py() for c in ("size", "before", "mark", "nth", "behind"))
+                    if start is None:
+                        raise RuntimeError(f"the splits of {file} have changed")
+                    at = start + mark if nth else 0
+                    held[:] = b"" if nth else _MARK[:mark]
+                    skip = -at % width
+                held += b"".join(x + sign for x in part.column("line").to_pylist())
+                yield from blocks(False)
+        yield from blocks(True)
+
+    return joined.mapInArrow(cut_up, "file string, block long, payload binary")
+
+
 def scan(files: DataFrame, end: int, width: int = WIDTH) -> DataFrame:
     """The documents of flat token ``files`` (file, block, payload), in order.
 
