@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import bpe, jaccard_join, language, mixing, secrets
-from tidemark.llm.common import drop_tables, held_out, new_table, table
+from tidemark.llm.common import drop_tables, held_out, new_table, stored, table
 from tidemark.llm.queries import MIX_SEED, MIX_SHARE, VOCABULARY, WEIGHTS, mix_levels
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -42,9 +42,11 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents of each leaf's prefix of one epoch; the last one is kept whole."""
-    docs = docs.select(*COLUMNS)
-    mix = mixing.Mix(docs, mix_levels(), WEIGHTS, MIX_SHARE, epochs=1, seed=MIX_SEED)
+    """The documents of each leaf's prefix of one epoch; the last one is kept whole. Budgets
+    and weights are in tokens of the encoder, which are counted once."""
+    counted = bpe.encode(docs.select(*COLUMNS, F.col("text").alias("_text")), public_tokenizers.path(VOCABULARY), "_text")
+    docs = stored(counted.select(*COLUMNS, F.size("ids").cast("long").alias("n_tokens")))
+    mix = mixing.Mix(docs, mix_levels(), WEIGHTS, MIX_SHARE, epochs=1, seed=MIX_SEED, tokens=F.col("n_tokens"))
     return mix.select(docs).select(*COLUMNS)
 
 

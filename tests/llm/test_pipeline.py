@@ -68,6 +68,13 @@ def test_mix_and_encoding(stages):
         assert r.ids == library.encode(after[i].text, add_special_tokens=False).ids and r.n_tokens == len(r.ids)
 
 
+def test_texts_without_blanks_count_as_their_tokens(spark):
+    spaced, dense = " ".join(["word"] * 60), "中文文本在这里" * 8
+    docs = documents(spark, [(i, (spaced, dense)[i % 2], "en", ("src1", "src13")[i % 2], 1) for i in range(400)])
+    kept = corpus_pipeline.mix_sources(spark, docs, SF).groupBy("source").count().collect()
+    assert 0 < dict(kept)["src13"] < 200
+
+
 def test_run_equals_the_stages(spark, stages):
     got = corpus_pipeline.run(spark, SF)
     assert {(r.doc_id, r.decoded_sha256) for r in got.collect()} == {
