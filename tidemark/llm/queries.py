@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, fingerprints, jaccard_join, language, mixing, neighbours, secrets, token_counts, toxicity, url_filter
+from tidemark.llm import bpe, fingerprints, jaccard_join, language, mixing, neighbours, periodic, secrets, token_counts, toxicity, url_filter
 from tidemark.llm.common import drop_tables, held_out, new_table, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -328,3 +328,72 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
 @query
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
+
+
+def with_repeats(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): a tenth of all documents, chosen by a hash of their ids, is changed so that
+    their words repeat from some word on."""
+    words = F.filter(F.split("text", periodic.BLANKS), lambda w: w != "")
+    h = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8"))
+    g = F.floor(h / 10).cast("long")
+    cut = docs.select("doc_id", "text", F.when(h % 10 == 0, words).alias("words"), g.alias("g"))
+    n = F.size("words").cast("long")
+    cut = cut.withColumn("a", F.when(n > 0, F.pmod("g", n)))
+    cut = cut.withColumn("p", F.floor((n - F.col("a")) / (3 + F.col("g") % 8)) + 1)
+    repeated = F.transform(
+        F.sequence(F.lit(0).cast("long"), n - 1),
+        lambda i: F.get("words", F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p")).cast("int")),
+    )
+    return cut.select("doc_id", F.when(F.col("a").isNotNull(), F.array_join(repeated, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.repeated_runs(with_repeats(table(spark, sf_dir, "documents")))
+    longest = periodic.longest_run(F.col("runs"))
+    return found.select("doc_id", "runs", "collapsed", longest.alias("top")).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "top.start",
+        "top.length",
+        "top.period",
+        F.floor(1000 * F.col("top.length") / F.col("top.period")).alias("exponent_milli"),
+        F.sha2(F.encode(periodic.runs_text(F.col("runs")), "UTF-8"), 256).alias("runs_sha256"),
+        F.sha2(F.encode("collapsed", "UTF-8"), 256).alias("collapsed_sha256"),
+    )
+
+
+#: Pairs of equal words at most a quarter of the text apart, and the islands of their places.
+ORACLE["op11_periodic_runs"] = r"""
+WITH cyclic AS MATERIALIZED (
+  SELECT list_transform(range(256), lambda b: list_reduce(list_concat([b], range(8)),
+    lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+), source AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS w,
+    xor(list_reduce(list_concat([4294967295], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ord(x) AS BIGINT))),
+      lambda c, x: xor(c >> 8, t[1 + (xor(c, x) & 255)])), 4294967295) AS h FROM documents, cyclic
+), placed AS (
+  SELECT *, len(w) AS n, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a FROM source
+), words AS MATERIALIZED (
+  SELECT row, n, i, w[1 + CASE WHEN i < a OR a IS NULL THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + (h // 10) % 8)) END] AS word
+  FROM placed, unnest(range(n)) AS r(i)
+), pairs AS (
+  SELECT l.row, l.i, r.i - l.i AS p FROM words l JOIN words r ON l.row = r.row AND l.word = r.word AND r.i > l.i AND 4 * (r.i - l.i) <= l.n
+), islands AS (
+  SELECT row, p, min(i) AS s, count(*) + p AS len FROM (
+    SELECT row, p, i, i - row_number() OVER (PARTITION BY row, p ORDER BY i) AS island FROM pairs)
+  GROUP BY row, p, island HAVING count(*) + p >= greatest(6, 4 * p)
+), runs AS MATERIALIZED (
+  SELECT row, s, len, min(p) AS q FROM islands GROUP BY ALL
+), counted AS (
+  SELECT row, count(*) AS n_runs, first(struct_pack(s := s, len := len, q := q) ORDER BY len DESC, s, q) AS top,
+    string_agg(concat(s, ',', len, ',', q, chr(10)), '' ORDER BY s, q) AS listed FROM runs GROUP BY row
+), gone AS (
+  SELECT DISTINCT row, i FROM runs, unnest(range(s + q, s + len)) AS r(i)
+), left_over AS (
+  SELECT row, string_agg(word, ' ' ORDER BY i) AS kept FROM words ANTI JOIN gone USING (row, i) GROUP BY row
+)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, top.s AS start, top.len AS length, top.q AS period, 1000 * top.len // top.q AS exponent_milli,
+  sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM source LEFT JOIN counted USING (row) LEFT JOIN left_over USING (row)
+"""
