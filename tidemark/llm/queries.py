@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, fingerprints, jaccard_join, language, mixing, neighbours, periodic, secrets, token_counts, toxicity, url_filter
+from tidemark.llm import bpe, fingerprints, jaccard_join, language, mixing, neighbours, periodic, secrets, token_counts, top_k, toxicity, url_filter
 from tidemark.llm.common import drop_tables, held_out, new_table, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -369,7 +369,8 @@ WITH cyclic AS MATERIALIZED (
   SELECT list_transform(range(256), lambda b: list_reduce(list_concat([b], range(8)),
     lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
 ), source AS MATERIALIZED (
-  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS w,
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+') AS w,
     xor(list_reduce(list_concat([4294967295], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ord(x) AS BIGINT))),
       lambda c, x: xor(c >> 8, t[1 + (xor(c, x) & 255)])), 4294967295) AS h FROM documents, cyclic
 ), placed AS (
@@ -397,3 +398,23 @@ SELECT doc_id, coalesce(n_runs, 0) AS n_runs, top.s AS start, top.len AS length,
   sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
 FROM source LEFT JOIN counted USING (row) LEFT JOIN left_over USING (row)
 """
+
+
+@query
+def op12_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whole = F.transform("embedding", lambda x: F.floor(64 * x.cast("double")).cast("long"))
+    vectors = table(spark, sf_dir, "embeddings").where(top_k.finite(F.col("embedding"))).select("vec_id", whole.alias("vector"))
+    return top_k.top_k(vectors, vectors.where("vec_id % 20 = 0"))
+
+
+ORACLE["op12_exact_top_k"] = """
+WITH usable AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+  FROM usable q JOIN usable c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 20 = 0
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM scored QUALIFY rank <= 20
+"""
