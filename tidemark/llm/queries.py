@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, fingerprints, jaccard_join, language, mixing, neighbours, periodic, secrets, token_counts, top_k, toxicity, url_filter
+from tidemark.llm import bpe, fingerprints, jaccard_join, language, mixing, neighbours, periodic, secrets, token_counts, top_k, toxicity, url_filter, whitening
 from tidemark.llm.common import drop_tables, held_out, new_table, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -418,3 +418,10 @@ WITH usable AS MATERIALIZED (
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
 FROM scored QUALIFY rank <= 20
 """
+
+
+@query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whole = F.transform("embedding", lambda x: F.floor(256 * x.cast("double")).cast("long"))
+    vectors = table(spark, sf_dir, "embeddings").where(top_k.finite(F.col("embedding")))
+    return whitening.whiten(vectors.select("vec_id", whole.alias("vector")))
