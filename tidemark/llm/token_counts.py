@@ -16,10 +16,9 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import tiktoken
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
-from tidemark.llm.common import document_batches, stored
+from tidemark.llm.common import document_batches, new_table, stored
 
 #: Tokens of a block; bytes of a token.
 BLOCK, WIDTH = 1 << 16, 2
@@ -36,65 +35,90 @@ def encoding(path: str, pattern: str) -> tiktoken.Encoding:
 
 
 def write_flat(
-    docs: DataFrame, ranks: str, pattern: str, end: int, block: int = BLOCK, width: int = WIDTH
+    docs: DataFrame, ranks: str, pattern: str, end: int, block: int = BLOCK, width: int = WIDTH, path: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """Flat token files of ``docs`` (doc_id, text), one for each partition, as a table of blocks
-    of whole documents, ``block`` tokens or more, (file, block, payload), and which document is the how-manieth of a file (file, ordinal,
-    doc_id). Null and empty texts are documents without tokens."""
-    kind = np.dtype(f"<u{width}")
-    names = ["file", "place", "doc_id", "payload"]
+    """Write ``docs`` (doc_id, text) as flat token files, one for each partition.
+
+    Each task encodes its documents and writes them itself, so the tokens are on disk once and
+    are not shuffled: ``path``/part=tokens has the files, in which nothing but tokens is.
+    Returns their blocks of at most ``block`` tokens (file, block, payload), and which document is
+    the how-manieth of a file (file, ordinal, doc_id); a file goes by the number of its task.
+    Null and empty texts are documents without tokens, repeated rows documents of their own; an
+    empty table gives no tokens; other columns are ignored.
+    """
+    path = path or new_table(docs.sparkSession)
+    kind, sign = np.dtype(f"<u{width}"), end.to_bytes(width, "little")
+    names = ["part", "seq", "body"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, file = encoding(ranks, pattern), TaskContext.get().partitionId()
+        encoder = encoding(ranks, pattern)
         held, size, written, seen = [], 0, 0, 0
 
-        def rows(place, doc_id, payload):
-            n = len(place)
+        def row(part: str, seq: list[int], body: list[bytes]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
-                [pa.array([file] * n, pa.int32()), pa.array(place, pa.int64()), pa.array(doc_id, pa.int64()), pa.array(payload, pa.binary())],
-                names,
+                [pa.array([part] * len(seq), pa.string()), pa.array(seq, pa.int64()), pa.array(body, pa.binary())], names
             )
 
+        def tokens() -> pa.RecordBatch:
+            whole = np.concatenate(held)[:-1].tobytes()  # the writer ends each row with the identifier
+            return row("tokens", [written], [whole])
+
         for batch in batches:
-            ids = batch.column(0).to_pylist()
-            yield rows(range(seen, seen + len(ids)), ids, [None] * len(ids))
+            ids = ["" if i is None else str(i) for i in batch.column(0).to_pylist()]
+            yield row("order", list(range(seen, seen + len(ids))), [f"{seen + j},{i}".encode() for j, i in enumerate(ids)])
             seen += len(ids)
             for text in batch.column(1):
-                tokens = encoder.encode_ordinary(text.as_py() or "")
-                held.append(np.append(np.array(tokens, kind), kind.type(end)))
+                found = encoder.encode_ordinary(text.as_py() or "")
+                held.append(np.append(np.array(found, kind), kind.type(end)))
                 size += len(held[-1])
                 if size >= block:
-                    yield rows([written], [None], [np.concatenate(held).tobytes()])
+                    yield tokens()
                     written, held, size = written + 1, [], 0
         if size:
-            yield rows([written], [None], [np.concatenate(held).tobytes()])
-
-    table = stored(document_batches(docs.select("doc_id", "text")).mapInArrow(run, "file int, place long, doc_id long, payload binary"))
-    files = table.where("payload IS NOT NULL").select("file", F.col("place").alias("block"), "payload")
-    return files, table.where("payload IS NULL").select("file", F.col("place").alias("ordinal"), "doc_id")
+            yield tokens()
 
-
-def write_files(files: DataFrame, path: str, end: int, width: int = WIDTH) -> None:
-    """Plain flat token files ``path``/file=N/part-... of a table (file, block, payload) whose
-    payloads end with the identifier ``end``; nothing but the payloads is in them."""
-    body = F.col("payload").substr(F.lit(1), F.length("payload") - width).cast("string")
+    rows = document_batches(docs.select(F.col("doc_id").cast("long"), "text")).mapInArrow(run, "part string, seq long, body binary")
     (
-        files.repartition("file")
-        .sortWithinPartitions("file", "block")
-        .select("file", body.alias("body"))
-        .write.partitionBy("file")
+        rows.sortWithinPartitions("part", "seq")
+        .select("part", F.col("body").cast("string").alias("body"))
+        .write.partitionBy("part")
         .option("encoding", "ISO-8859-1")
-        .option("lineSep", end.to_bytes(width, "little").decode("latin-1"))
+        .option("lineSep", sign.decode("latin-1"))
         .text(path)
     )
+    spark = docs.sparkSession
+    files = read_flat(spark, path, block, width, cut=max(sign), part="tokens")
+    return files.withColumn("file", _number(F.col("file"))), _order(spark, path, sign.decode("latin-1"))
+
+
+def _number(name: Column) -> Column:
+    """The number of the task that wrote a file, from the file's name or path."""
+    return F.regexp_extract(name, r"part-(\d+)-[^/]*$", 1).cast("int")
+
+
+def _order(spark: SparkSession, path: str, sign: str) -> DataFrame:
+    """(file, ordinal, doc_id) as ``write_flat`` left it beside the tokens."""
+    lines = spark.read.option("encoding", "ISO-8859-1").option("lineSep", sign).text(path)
+    cells = F.split("value", ",")
+    return _part(lines, "order").select(
+        _number(F.col("_metadata.file_name")).alias("file"),
+        cells[0].cast("long").alias("ordinal"),
+        F.when(cells[1] != "", cells[1].cast("long")).alias("doc_id"),
+    )
+
 
+def _part(lines: DataFrame, part: str) -> DataFrame:
+    """The lines of the files of one part; a table without rows has no parts."""
+    return lines.where(F.col("part") == part) if "part" in lines.columns else lines.limit(0)
 
-def _lines(spark: SparkSession, path: str, cut: int) -> DataFrame:
+
+def _lines(spark: SparkSession, path: str, cut: int, part: str | None) -> DataFrame:
     """(file, split, size, line) of the files below ``path``, in order within a split."""
     key = "spark.sql.files.minPartitionNum"
     if spark.conf.get(key, None) is None:  # splits must be the same whenever the files are read
         spark.conf.set(key, str(spark.sparkContext.defaultParallelism))
-    text = spark.read.option("encoding", "ISO-8859-1").option("lineSep", chr(cut)).text(path)
+    reader = spark.read.option("encoding", "ISO-8859-1").option("lineSep", chr(cut))
+    text = reader.text(path) if part is None else _part(reader.text(path), part)
     return document_batches(text).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("split"),
@@ -116,7 +140,14 @@ def _runs(batch: pa.RecordBatch) -> Iterator[tuple[tuple[str, int], pa.RecordBat
 _MARK = b"\xef\xbb\xbf"
 
 
-def read_flat(spark: SparkSession, path: str, block: int = BLOCK, width: int = WIDTH, cut: int = 10) -> DataFrame:
+#: Splits of which a table of about 200 bytes each is sent to every executor; beyond that the
+#: lines are dealt out by split.
+BROADCAST_SPLITS = 1_000_000
+
+
+def read_flat(
+    spark: SparkSession, path: str, block: int = BLOCK, width: int = WIDTH, cut: int = 10, part: str | None = None
+) -> DataFrame:
     """Blocks (file, block, payload) of the flat token files below ``path``, in any store that
     Spark reads; a file is named by its path and may have any size.
 
@@ -124,7 +155,8 @@ def read_flat(spark: SparkSession, path: str, block: int = BLOCK, width: int = W
     which each must fit a row; a byte of the end identifier that is rare elsewhere is a good
     one. A first reading counts the bytes of each split. So the second knows where in the file
     a split begins, and leaves the rest of a token that began in the split before to that one.
-    Blocks are whole tokens, at most ``block`` of them, numbered in order within a file.
+    Blocks are whole tokens, at most ``block`` of them, numbered in order within a file. With
+    ``part``, only files in folders ``part=...`` of that name are read, and there may be none.
     """
     sign, step, edge = bytes([cut]), block * width, width - 1
 
@@ -141,7 +173,7 @@ def read_flat(spark: SparkSession, path: str, block: int = BLOCK, width: int = W
         kinds = pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.binary()
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["file", "split", "size", "n", "head"])
 
-    splits = _lines(spark, path, cut).mapInArrow(measured, "file string, split long, size long, n long, head binary")
+    splits = _lines(spark, path, cut, part).mapInArrow(measured, "file string, split long, size long, n long, head binary")
     in_file = W.partitionBy("file").orderBy("split")  # one row for each split
     before = F.coalesce(F.sum("n").over(in_file.rowsBetween(W.unboundedPreceding, -1)), F.lit(0).cast("long"))
     # all lines end with the sign, the last one of a file perhaps only here
@@ -154,7 +186,12 @@ def read_flat(spark: SparkSession, path: str, block: int = BLOCK, width: int = W
     splits = splits.select(
         "file", "split", before.alias("before"), mark.alias("mark"), behind.alias("behind"), (F.row_number().over(in_file) - 1).alias("nth")
     )
-    joined = _lines(spark, path, cut).join(F.broadcast(splits), ["file", "split"], "left")
+    splits, lines, key = stored(splits), _lines(spark, path, cut, part), ["file", "split"]
+    if splits.count() <= BROADCAST_SPLITS:
+        joined = lines.join(F.broadcast(splits), key, "left")
+    else:
+        numbered = lines.withColumn("_at", F.monotonically_increasing_id())
+        joined = numbered.join(splits, key, "left").repartition(*key).sortWithinPartitions(*key, "_at").drop("_at")
 
     def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, file, held, at, skip, size, nth, behind = None, "", bytearray(), 0, 0, 0, 0, b""
