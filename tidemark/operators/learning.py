@@ -17,18 +17,19 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.util import inheritable_thread_target
 
 from tidemark.functions.sizing import durable, ensure_checkpoint_dir
+from tidemark.operators.forest import Forest
 from tidemark.operators.monitoring import classification_metrics, regression_metrics, roc_auc
 
 # Seed, tree counts and depths, rounds, iterations, penalties, hidden layers.
 SEED = 42
 TREES = 100
 TREE_DEPTH = 8
-#: The deepest trees the library grows; the forests are meant to be unlimited.
-FOREST_DEPTH = 30
+#: The forests are meant to be unlimited: no tree of distinct rows needs more levels.
+FOREST_DEPTH = 1 << 20
 #: Cut points tried for a feature.
 MAX_BINS = 32
 ROUNDS, BOOST_DEPTH, BOOST_STEP = 100, 3, 0.1
-LOGISTIC_ITERATIONS = 500
+LOGISTIC_ITERATIONS, MARGIN_ITERATIONS = 500, 200
 NETWORK_ITERATIONS, HIDDEN_LAYERS = 300, (128, 64)
 RIDGE_ALPHA = 1.0
 FOLDS = 5
@@ -80,11 +81,7 @@ REGRESSORS: dict[str, Model] = {
         lambda f: R.DecisionTreeRegressor(**_columns(maxDepth=TREE_DEPTH, maxBins=f.max_bins, seed=SEED))
     ),
     "Random Forest": Model(
-        lambda f: R.RandomForestRegressor(
-            **_columns(
-                numTrees=TREES, maxDepth=f.forest_depth, maxBins=f.max_bins, featureSubsetStrategy="all", seed=SEED
-            )
-        )
+        lambda f: Forest(trees=TREES, depth=f.forest_depth, bins=f.max_bins, seed=SEED, **_columns())
     ),
     "Gradient Boosting": Model(
         lambda f: R.GBTRegressor(
@@ -109,12 +106,12 @@ CLASSIFIERS: dict[str, Model] = {
         scaled=True,
     ),
     "Linear SVC": Model(
-        lambda f: C.LinearSVC(**_columns(regParam=1.0 / f.rows, standardization=False)),
+        lambda f: C.LinearSVC(**_columns(maxIter=MARGIN_ITERATIONS, regParam=1.0 / f.rows, standardization=False)),
         scaled=True,
     ),
     "Random Forest": Model(
-        lambda f: C.RandomForestClassifier(
-            **_columns(numTrees=TREES, maxDepth=f.forest_depth, maxBins=f.max_bins, seed=SEED)
+        lambda f: Forest(
+            trees=TREES, depth=f.forest_depth, bins=f.max_bins, tried=-1, classify=True, seed=SEED, **_columns()
         )
     ),
     "Gradient Boosting": Model(
@@ -276,6 +273,12 @@ def cross_validated_regression(scored: DataFrame) -> DataFrame:
     )
 
 
+def cross_validated_auc(scored: DataFrame, label: str, score: str = "score") -> DataFrame:
+    """Per model: mean area under the ROC curve over the folds of out-of-fold scores."""
+    per_fold = roc_auc(scored, ["model", "fold"], label=label, score=score)
+    return per_fold.groupBy("model").agg(F.avg("auc").alias("cv_auc"))
+
+
 def regression_leaderboard(
     train: DataFrame,
     test: DataFrame,
@@ -321,8 +324,7 @@ def classification_leaderboard(
     scored = durable(_score_test(whole, test, score).select("model", label, "prediction", "score"))
     metrics = classification_metrics(scored, ["model"], label=label)
     auc = roc_auc(scored, ["model"], label=label)
-    per_fold = roc_auc(score_folds(folds, train, score), ["model", "fold"], label=label)
-    cv = per_fold.groupBy("model").agg(F.avg("auc").alias("cv_auc"))
+    cv = cross_validated_auc(score_folds(folds, train, score), label)
     return metrics.join(auc, "model").join(cv, "model").orderBy(F.desc("auc"), "model")
 
 

@@ -6,6 +6,7 @@ from tidemark.plans.catalog import (  # noqa: F401  (imports register the querie
     joining,
     learning,
     mining,
+    models,
     monitoring,
     scalars,
     sources,
