@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from pyspark.ml import regression as R_ML
 
-from tidemark.operators import clustering as K, learning as M, mining as R, ordering as O, sampling as L
+from tidemark.functions import scalars as X
+from tidemark.operators import aggregates as A, clustering as K, learning as M, mining as R, ordering as O, sampling as L
 from tidemark.operators import statistics as S
 from tidemark.operators.skew import balanced_join, running_total
 
@@ -250,3 +251,50 @@ def test_itemsets_and_rules(spark):
     assert rule.confidence == pytest.approx(5 / 7) and rule.lift == pytest.approx(5 / 7 / 0.8)
     assert rule.leverage == pytest.approx(0.5 - 0.7 * 0.8)
     assert rule.conviction == pytest.approx((1 - 0.8) / (1 - 5 / 7))
+
+
+def final_plan(df):
+    """The plan that adaptive execution ended with, after the rows were collected."""
+    rows = df.collect()
+    return rows, df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def hot_rows(spark, tmp_path):
+    """A key with six of ten rows."""
+    spark.range(200_000).selectExpr("IF(id % 10 < 6, 0, id % 1000) AS k", "double(id % 997) AS v", "uuid() AS x").repartition(8).write.parquet(f"{tmp_path}/hot")
+    return spark.read.parquet(f"{tmp_path}/hot")
+
+
+def test_hot_keys_are_split_before_a_sum(spark, tmp_path, hot_rows, small_partitions):
+    spark.range(1000).selectExpr("id AS k", "uuid() AS y").write.parquet(f"{tmp_path}/names")
+    joined = balanced_join(hot_rows, spark.read.parquet(f"{tmp_path}/names"), ["k"])
+    summed = A.sum_per_key(joined.where("x <> y"), ["k"], "v", "s")
+    rows, plan = final_plan(summed)
+    assert "skew=true" in plan
+    want = dict(hot_rows.groupBy("k").agg(F.sum("v")).collect())
+    assert dict(map(tuple, rows)) == want
+    items = A.sum_and_distinct(joined.where("x <> y"), ["k"], "v", "v", ("s", "n"))
+    rows, plan = final_plan(items)
+    assert "skew=true" in plan and {r.k: r.s for r in rows} == want and {r.k: r.n for r in rows}[0] == 997
+
+
+def test_hot_groups_of_box_plots_are_split(spark, hot_rows, small_partitions):
+    spark.conf.set("spark.tidemark.singleTaskRows", "-1")
+    try:
+        rows, plan = final_plan(O.box_summary(hot_rows, "v", ["k"]))
+    finally:
+        spark.conf.unset("spark.tidemark.singleTaskRows")
+    assert "skew=true" in plan and sum(r.n for r in rows) == 200_000
+    want = {r.k: r.m for r in hot_rows.groupBy("k").agg(F.expr("percentile(v, 0.5)").alias("m")).collect()}
+    assert {r.k: r.median for r in rows} == want
+
+
+def test_layouts_are_told_apart_by_their_shape(spark):
+    texts = ["2024-05-06 07:08:09", "06-05-2024 07:08", "06/05/2024 07:08:09", "2024-05-06T07:08", "2024-13-06 07:08", "6/5/24", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "c string")
+    got = [str(r[0]) for r in df.select(X.parse_timestamp(F.col("c"))).collect()]
+    assert got == ["2024-05-06 07:08:09", "2024-05-06 07:08:00", "2024-05-06 07:08:09", "2024-05-06 07:08:00"] + ["None"] * 4
+    loose = df.select(X.parse_timestamp(F.col("c"), ["d/M/yy", "yyyy-MM-dd HH:mm:ss"])).collect()
+    assert str(loose[0][0]) == "2024-05-06 07:08:09" and str(loose[5][0]) == "2024-05-06 00:00:00"
+    assert [r[0] for r in df.select(X.parse_timestamp(F.col("c"), ["d/M/yy"])).collect()][:5] == [None] * 5

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
@@ -115,9 +116,30 @@ def unparsed_count(text: Column, parsed: Column) -> Column:
     return F.count(F.when(text.isNotNull() & parsed.isNull(), 1))
 
 
+def _shape(pattern: str) -> str | None:
+    """The text that a pattern of fixed widths matches, with every digit 0; else None."""
+    bare = pattern.replace("'", "")
+    runs = [m.group() for m in re.finditer(r"([A-Za-z])\1*", pattern.replace("'T'", ""))]
+    return None if any(x not in ("yyyy", "MM", "dd", "HH", "mm", "ss") for x in runs) else re.sub(r"[yMdHms]", "0", bare)
+
+
 def parse_timestamp(c: Column, patterns: Sequence[str] = TIMESTAMP_LAYOUTS) -> Column:
-    """Zone-free timestamp of a text in any of ``patterns``; ISO text is never day-swapped."""
-    return F.coalesce(*[F.try_to_timestamp(c, F.lit(p)) for p in patterns]).cast("timestamp_ntz")
+    """Zone-free timestamp of a text in any of ``patterns``; ISO text is never day-swapped.
+
+    The digits and separators of a text tell which patterns of fixed widths it can have, so a
+    cell is parsed once; patterns of other kinds are tried in their order after those.
+    """
+    shapes: dict[str, list[str]] = {}
+    for p in patterns:
+        shapes.setdefault(_shape(p), []).append(p)
+    tried = {s: F.coalesce(*[F.try_to_timestamp(c, F.lit(p)) for p in of]) for s, of in shapes.items()}
+    others = tried.pop(None, F.lit(None).cast("timestamp"))
+    if not tried:
+        return others.cast("timestamp_ntz")
+    shape, found = F.translate(c, "123456789", "0" * 9), F
+    for s, value in tried.items():
+        found = found.when(shape == s, value)
+    return F.coalesce(found, others).cast("timestamp_ntz")
 
 
 def minute_of_day(ts: Column) -> Column:

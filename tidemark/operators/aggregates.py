@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.operators.skew import balanced_join, running_total
+from tidemark.operators.skew import balanced_join, group_anew, running_total
 
 
 def total(col: str) -> Column:
@@ -15,12 +15,12 @@ def total(col: str) -> Column:
 
 
 def sum_per_key(df: DataFrame, key: Sequence[str], value: str, name: str) -> DataFrame:
-    return df.na.drop(subset=list(key)).groupBy(*key).agg(total(value).alias(name))
+    return group_anew(df.na.drop(subset=list(key)), key, total(value).alias(name))
 
 
 def count_per_key(df: DataFrame, key: Sequence[str], counted: str, name: str) -> DataFrame:
     """Non-missing ``counted`` cells per key; rows with a missing key are left out."""
-    return df.na.drop(subset=list(key)).groupBy(*key).agg(F.count(counted).alias(name))
+    return group_anew(df.na.drop(subset=list(key)), key, F.count(counted).alias(name))
 
 
 def pivot_counts(df: DataFrame, rows: str, cols: str, values: Sequence[str], counted: str) -> DataFrame:
@@ -42,7 +42,7 @@ def sum_and_distinct(
     Rows are first combined per key and counted value, so that a heavy key is spread
     over its values before it is gathered.
     """
-    per_item = df.na.drop(subset=list(key)).groupBy(*key, counted).agg(total(value).alias("_sum"))
+    per_item = group_anew(df.na.drop(subset=list(key)), [*key, counted], total(value).alias("_sum"))
     return per_item.groupBy(*key).agg(
         F.sum("_sum").alias(names[0]), F.count(counted).alias(names[1])
     )

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.operators.skew import balanced_join, running_total
+from tidemark.operators.skew import balanced_join, group_anew, running_total
 
 
 def every_kth(
@@ -124,8 +124,13 @@ def box_summary(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
     known = df.where(F.col(value).isNotNull()).select(*by, value)
     fenced = balanced_join(known, box, by)
     inside = (F.col(value) >= F.col("q1") - reach) & (F.col(value) <= F.col("q3") + reach)
-    return fenced.groupBy(*by, "q1", "median", "q3").agg(
-        F.least("q1", F.min(F.when(inside, F.col(value)))).alias("whisker_low"),
-        F.greatest("q3", F.max(F.when(inside, F.col(value)))).alias("whisker_high"),
+    found = group_anew(
+        fenced,
+        [*by, "q1", "median", "q3"],
+        F.min(F.when(inside, F.col(value))).alias("_low"),
+        F.max(F.when(inside, F.col(value))).alias("_high"),
         F.count(F.lit(1)).alias("n"),
     )
+    return found.select(
+        *by, "q1", "median", "q3", F.least("q1", "_low").alias("whisker_low"), F.greatest("q3", "_high").alias("whisker_high"), "n"
+    )

@@ -34,6 +34,19 @@ def balanced_join(
     return tagged.join(other, keys, how).drop(*keys)
 
 
+def group_anew(df: DataFrame, by: Sequence[str], *aggregates: Column) -> DataFrame:
+    """``df.groupBy(*by).agg(*aggregates)`` for rows that come from a join on ``by``.
+
+    Grouped by the columns themselves, the join's own partitions would do, and Spark then gives
+    up splitting a hot key's, because that would cost one more exchange. Grouped by a struct of
+    them there is an exchange in any case, of one row for each key and task that joins; so the
+    join is split, and each part is aggregated where it was joined.
+    """
+    by = list(by)
+    grouped = df.groupBy(F.struct(*by).alias("_key")).agg(*aggregates)
+    return grouped.select("_key.*", *[c for c in grouped.columns if c != "_key"])
+
+
 def _same(a: str, b: str, cols: Sequence[str]) -> Column:
     return reduce(
         lambda x, y: x & y, [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in cols]
