@@ -39,14 +39,14 @@ def s1_csv_scan(spark, sf):
 
 @query(
     "s2_spreadsheet_landed",
-    """SELECT * REPLACE (CASE WHEN Age <> 'n/a' THEN Age END AS Age) FROM system1
-      WHERE row_no > (SELECT min(row_no) FROM system1)""",
+    """SELECT * REPLACE (CASE WHEN Age <> 'n/a' THEN Age END AS Age) FROM systems
+      WHERE row_no > (SELECT min(row_no) FROM systems)""",
     [B.CUSTOMERS_SQL],
 )
 def s2_spreadsheet_landed(spark, sf):
     """A sheet landed as text with a filler column, padded names and a leading filler row."""
     path = scratch_path(spark)
-    sheet = B.padded(B.system1(spark, sf))
+    sheet = B.padded(B.systems(spark, sf))
     S.write_csv(sheet, path)
     landed = S.read_csv(spark, path, sheet.schema)
     return P.crop(landed, 1, 1, ["` row_no `"])
