@@ -298,3 +298,16 @@ def test_layouts_are_told_apart_by_their_shape(spark):
     loose = df.select(X.parse_timestamp(F.col("c"), ["d/M/yy", "yyyy-MM-dd HH:mm:ss"])).collect()
     assert str(loose[0][0]) == "2024-05-06 07:08:09" and str(loose[5][0]) == "2024-05-06 00:00:00"
     assert [r[0] for r in df.select(X.parse_timestamp(F.col("c"), ["d/M/yy"])).collect()][:5] == [None] * 5
+
+
+def test_quantiles_of_large_groups(spark, planned):
+    """Ties, few distinct values, and values of all sizes: only brackets are put in order."""
+    df = spark.range(60_000).selectExpr(
+        "id % 3 AS k", "double(id * 7919 % 60013) AS a", "double(id % 5) AS b", "IF(id % 2 = 0, 0.0, exp(double(id * 31 % 1009) / 50)) AS c"
+    )
+    probs = {"low": 0.0, "first": 0.01, "median": 0.5, "third": 2 / 3, "high": 1.0}
+    got = {(r.k, r.column): r for r in O.quantiles(df, ["a", "b", "c"], probs, ["k"]).collect()}
+    exact = df.groupBy("k").agg(*[F.expr(f"percentile({c}, array({', '.join(map(str, probs.values()))}))").alias(c) for c in "abc"])
+    for r in exact.collect():
+        for c in "abc":
+            assert [got[r.k, c][n] for n in probs] == pytest.approx(r[c], rel=1e-12)

@@ -3,11 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.operators.skew import balanced_join, group_anew, running_total
 
+#: Accuracy of the sketch of a group's values (ranks are wrong by one in so many at most), the
+#: share of ranks to either side of a quantile that it brackets, and the size of a group that is
+#: taken whole: the share of a larger one is several rows.
+ACCURACY, BRACKET, FEW_VALUES = 10_000, 0.002, 5_000
+
 
 def every_kth(
     df: DataFrame, k: int, order: Sequence[str], by: Sequence[str] = (), start: int = 0
@@ -70,8 +76,10 @@ def quantiles(
     ``probs`` maps output names to probabilities in [0, 1]; missing values and, as in
     any grouped summary here, missing group keys are ignored.
 
-    The distinct values are counted, each one's position is found by a distributed running
-    total, and the two order statistics around every requested position are read off.
+    A sketch brackets every requested position between two values, with room to spare. Then one
+    pass counts the values between brackets and keeps only those inside, of which the two order
+    statistics around the position are read off after a distributed running total. So what is
+    put in order is a small share of the rows, whatever their number.
     """
     by, cols = list(by), list(cols)
     present = df.na.drop(subset=by) if by else df
@@ -88,19 +96,30 @@ def quantiles(
         ).alias("_s"),
     ).select(*by, "_s.column", "_s.value").where(F.col("value").isNotNull())
     group = [*by, "column"]
-    counts = long.groupBy(*group, "value").agg(F.count(F.lit(1)).alias("_n"))
-    placed = running_total(counts, group, ["value"], "_n", "_below")
-    sizes = placed.groupBy(*group).agg(F.sum("_n").alias("_total"))
+    around = [min(max(p + side, 0.0), 1.0) for p in probs.values() for side in (-BRACKET, BRACKET)]
+    sketch = long.groupBy(*group).agg(
+        F.count(F.lit(1)).alias("_total"), F.percentile_approx("value", around, ACCURACY).alias("_q")
+    )
+    bounds = [(F.col("_q")[2 * i], F.col("_q")[2 * i + 1]) for i in range(len(names))]
+    value = F.col("value")
+    inside = reduce(lambda a, b: a | b, [(value >= low) & (value <= high) for low, high in bounds])
+    inside = inside | (F.col("_total") <= FEW_VALUES)
+    # a value between brackets counts where the next one begins, before that one's own values
+    ahead = F.array_min(F.array(*[F.when(low > value, low) for low, _ in bounds]))
+    at = F.when(inside, value).otherwise(F.coalesce(ahead, F.lit(float("inf"))))
+    cells = balanced_join(long, sketch, group).select(*group, "_total", at.alias("_at"), inside.cast("int").alias("_in"))
+    counts = group_anew(cells, [*group, "_total", "_at", "_in"], F.count(F.lit(1)).alias("_n"))
+    placed = running_total(counts, group, ["_at", "_in"], "_n", "_below")
     # Position p sits at row p * (total - 1); `holds` finds the value occupying a row.
-    marked = balanced_join(placed, sizes, group, "left")
 
     def holds(row: Column) -> Column:
-        return F.max(
-            F.when((F.col("_below") <= row) & (row < F.col("_below") + F.col("_n")), F.col("value"))
-        )
+        here = (F.col("_below") <= row) & (row < F.col("_below") + F.col("_n")) & (F.col("_in") == 1)
+        missed = F.raise_error(F.lit("a quantile lies outside its bracket")).cast("double")
+        return F.coalesce(F.max(F.when(here, F.col("_at"))), missed)
 
-    at = {n: F.lit(float(p)) * (F.col("_total") - 1) for n, p in probs.items()}
-    ends = marked.groupBy(*group, "_total").agg(
+    total = F.col("_total")
+    at = {n: F.lit(float(p)) * (total - 1) for n, p in probs.items()}
+    ends = placed.groupBy(*group, "_total").agg(
         *[holds(F.floor(at[n])).alias(f"_lo_{n}") for n in names],
         *[holds(F.ceil(at[n])).alias(f"_hi_{n}") for n in names],
     )
