@@ -2,6 +2,7 @@
 
 from tidemark.plans.catalog import (  # noqa: F401  (imports register the queries)
     cleaning,
+    flows,
     grouping,
     joining,
     learning,
