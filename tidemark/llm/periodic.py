@@ -155,9 +155,9 @@ def find_runs(words: np.ndarray, text_of: np.ndarray, least: int = LEAST_WORDS,
         return np.zeros((0, 3), np.int64)
     ahead = Extensions(words, text_of).of(left, left + period)
     # to the left: to the right in the words turned round, from the word before
-    # (there the end of a text stands behind the text after it)
+    # (there the end of a text stands behind the text after it, and the first text needs another)
     owner = text_of + np.append(np.diff(text_of) != 0, True)
-    turned = Extensions(words[::-1].copy(), (owner[-1] - owner)[::-1].copy())
+    turned = Extensions(np.append(words[::-1], words.max() + 1), np.append((owner[-1] - owner)[::-1], owner[-1]))
     has = left > 0
     back = np.zeros(len(left), np.int64)
     back[has] = turned.of(size - left[has] - period[has], size - left[has])
