@@ -346,8 +346,7 @@ def linear_folds(df: DataFrame, x: str, y: str, fold: str = "fold") -> DataFrame
     lines = sums.select(
         fold, slope.alias("_b"), ((out["sy"] - slope * out["sx"]) / out["n"]).alias("_a")
     )
-    # One row per fold, a handful whatever the data's size.
-    joined = both.join(F.broadcast(lines), fold)
+    joined = both.join(lines, fold)
     return joined.select(
         *df.columns, fy.alias("actual"), (F.col("_a") + F.col("_b") * fx).alias("predicted")
     )

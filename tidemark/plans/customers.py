@@ -16,6 +16,8 @@ CUSTOMER, ORDER, PRODUCT, PRICE = "CustomerID", "OrderNumber", "ProductNr", "Pri
 PRODUCT_KEYS = ("ProductNr", "ProductID", "Product_ID")
 GROUP_KEYS = (CUSTOMER, "CustomerGroup", "AgeGroup")
 PARALLEL_AXES = ("AgeGroup", "CustomerGroup_num", "Sum_Price", "Unique_ProductNr")
+#: Columns that the pivot of basket sizes may have.
+MOST_TYPES = 1000
 
 
 def clean(system: DataFrame, order: Sequence[str], crop_rows: int = 0, crop_cols: int = 0) -> DataFrame:
@@ -119,7 +121,9 @@ def run(
     merged = spark.read.parquet(f"{out}/merged")
     summary = per_customer(merged)
     lines, medians = parallel_frame(summary)
-    types = [r[0] for r in stores.select("StoreType").distinct().orderBy("StoreType").collect()]
+    types = [r[0] for r in stores.select("StoreType").distinct().orderBy("StoreType").limit(MOST_TYPES + 1).collect()]
+    if len(types) > MOST_TYPES:
+        raise ValueError(f"more than {MOST_TYPES} store types: their pivot has a column for each")
     reports = {
         "total_per_customer": total_per_customer(merged).orderBy(CUSTOMER),
         "basket_pivot": basket_pivot(merged, types).orderBy("BasketSize"),
