@@ -6,6 +6,7 @@ import random
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tests.llm.data import SF, awkward, clashing
@@ -89,3 +90,16 @@ def test_awkward_rows(spark, own, monkeypatch):
     want = {r.doc_id: own.encode(r.text).tolist() for r in docs.collect()}
     assert all(r.ids == want[r.doc_id] and r.decoded == own.decode(own.encode(None) if not r.ids else np.array(r.ids)) for r in rows)
     assert bpe.decode(bpe.encode(docs.limit(0), PATH), PATH).count() == 0
+
+
+def test_encoded_and_decoded_in_one_step(spark, monkeypatch):
+    monkeypatch.setattr(bpe, "BATCH_BYTES", 50)
+    docs = clashing(awkward(spark))
+    both = bpe.encode(docs.withColumn("decoded", F.lit(3)), PATH, decoded="decoded")
+    apart = bpe.decode(bpe.encode(docs, PATH), PATH)
+    assert set(both.columns) == set(apart.columns)
+    order = sorted(both.columns)
+    rows = [sorted(map(str, df.select(order).collect())) for df in (both, apart)]
+    assert rows[0] == rows[1] and both.where("decoded IS NULL").count() == 0
+    nothing = spark.createDataFrame([(1, None), (2, [])], "doc_id long, ids array<int>")
+    assert {r.decoded for r in bpe.decode(nothing, PATH).collect()} == {""}

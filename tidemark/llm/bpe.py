@@ -14,7 +14,7 @@ import json
 import re
 import sys
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import ahocorasick
@@ -23,12 +23,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from tidemark.llm.common import document_batches
+from tidemark.llm.common import document_batches, give_back
 
 #: Bytes of text that are encoded into one batch of results.
 BATCH_BYTES = 1 << 20
-#: Entries kept of words and of token pairs already worked out; beyond it they start afresh.
-REMEMBERED = 400_000
+#: Bytes of words already worked out, in each of two generations: when the younger one is full,
+#: it replaces the older, and a word that comes again moves on without being encoded again.
+REMEMBERED = 32 << 20
+#: What a word takes beside its letters and ids; token pairs that are remembered, and tokens
+#: whose edges are.
+WORD_BYTES, PAIRS, EDGES = 150, 1 << 17, 1 << 14
 
 #: Stands for the end of a word in the automaton; no byte has this code.
 _END = "Ā"
@@ -77,6 +81,16 @@ def _spelled(pattern: str, sets: dict[str, str]) -> str:
     return pattern
 
 
+class _Places(dict):
+    """Where the ids of each word are kept; a word that is not there yet is added by ``add``."""
+
+    def __init__(self, add: Callable[[str], int]):
+        self.add = add
+
+    def __missing__(self, word: str) -> int:
+        return self.add(word)
+
+
 class Tokenizer:
     """Encoder and decoder of one vocabulary file."""
 
@@ -111,24 +125,29 @@ class Tokenizer:
         self.parts = parts
         # the pieces of a token that stood at its right or left edge while it was merged,
         # each with the rank of the merge that took it in
-        self.edges = [lru_cache(REMEMBERED)(lambda t, side=side: self._edge(t, side)) for side in (1, 0)]
+        self.edges = [lru_cache(EDGES)(lambda t, side=side: self._edge(t, side)) for side in (1, 0)]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.at_special = re.compile(f"({'|'.join(map(re.escape, self.special))})") if self.special else None
         pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         # the character classes are spelled out so that the standard library can match them
         every = {r"\p{L}": _charset("L") + _NEW_LETTERS, r"\p{N}": _charset("N") + _NEW_NUMBERS, r"\s": _WHITE}
         self.words, self.common_words = (re.compile(_spelled(pattern, s)).findall for s in (every, every | _COMMON))
-        names = {i: t for t, i in vocab.items()} | {i: t for t, i in self.special.items()}
-        shown = [f"{names.get(i, '')} ".encode() for i in range(max(names) + 1)]
-        self.blob = np.frombuffer(b"".join(shown), np.uint8)
-        self.offsets = np.concatenate([[0], np.cumsum([len(s) for s in shown])])
+        self.table = OffsetTable(spec)
+        self.first_letters = frozenset(t[:1] for t in self.special)
         self.forget()
 
     def forget(self) -> None:
         """Drop what was learned from texts; a worker process outlives the tasks it serves."""
         self.compatible: dict[int, bool] = {}
-        self.place: dict[str, int] = {}
+        self._turn()
+        self._turn()
+
+    def _turn(self) -> None:
+        """Begin a new generation of words; the one before stays to be looked up."""
+        self.older = (self.place, self.flat, self.starts) if hasattr(self, "place") else None
+        self.place = _Places(self._index)
         self.flat, self.starts = np.zeros(1 << 16, np.int32), np.zeros(1 << 14, np.int64)
+        self.held = 0
 
     def _edge(self, token: int, side: int) -> tuple[tuple[int, int], ...]:
         out, taken = [], len(self.merged)
@@ -146,7 +165,7 @@ class Tokenizer:
         pairs are merged from left to right, so the border goes before a merge of the same
         rank on its right, and after one on its left.
         """
-        if len(self.compatible) >= REMEMBERED:
+        if len(self.compatible) >= PAIRS:
             self.compatible.clear()
         merged, after = self.merged, self.edges[1](right)
         none = len(merged) + 1
@@ -194,20 +213,25 @@ class Tokenizer:
         return [token for _, token in chosen]
 
     def _index(self, word: str) -> int:
-        """Where the ids of a word are kept; a new word is encoded first."""
-        i = self.place.get(word)
-        if i is None:
-            ids, i = self.encode_word(word), len(self.place)
-            end = self.starts[i] + len(ids)
-            if end > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros(max(end, len(self.flat)), np.int32)])
-            if i + 1 >= len(self.starts):
-                self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
-            self.flat[self.starts[i] : end] = ids
-            self.starts[i + 1] = end
-            self.place[word] = i
+        """Keep the ids of a word that has no place yet."""
+        ids, i = self._known(word), len(self.place)
+        end = self.starts[i] + len(ids)
+        if end > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros(max(end, len(self.flat)), np.int32)])
+        if i + 1 >= len(self.starts):
+            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
+        self.flat[self.starts[i] : end] = ids
+        self.starts[i + 1] = end
+        self.place[word] = i
+        self.held += sys.getsizeof(word) + 4 * len(ids) + WORD_BYTES
         return i
 
+    def _known(self, word: str) -> np.ndarray | list[int]:
+        """The ids of a word: from the generation before, or worked out."""
+        place, flat, starts = self.older
+        i = place.get(word)
+        return self.encode_word(word) if i is None else flat[starts[i] : starts[i + 1]]
+
     def _segment(self, text: str) -> np.ndarray:
         split = self.common_words
         if not text.isascii():
@@ -215,27 +239,38 @@ class Tokenizer:
             if _ODD.search(text):
                 text, split = text.translate(_LOWER), self.words
         words = split(text.lower())
-        if len(self.place) >= REMEMBERED:
-            self.forget()
-        try:
-            which = [self.place[w] for w in words]
-        except KeyError:
-            which = [self._index(w) for w in words]
+        if self.held >= REMEMBERED:
+            self._turn()
+        place = self.place
+        which = [place[w] for w in words]
         return _gather(self.flat, self.starts, np.array(which, np.int64))
 
     def encode(self, text: str | None) -> np.ndarray:
         """Token ids of a text; strings of special tokens in it become their ids."""
         if not text:
             return np.zeros(0, np.int32)
-        if self.at_special is None or "<" not in text:
+        if not any(c in text for c in self.first_letters):
             return self._segment(text)
         pieces = self.at_special.split(text)
         return np.concatenate(
             [np.array([self.special[p]], np.int32) if i % 2 else self._segment(p) for i, p in enumerate(pieces) if p]
         )
+    def decode(self, ids: np.ndarray) -> str:
+        """The text of token ids, from the offset table of the same file."""
+        return self.table.decode(ids)
+
+
+class OffsetTable:
+    """The tokens' strings in one run of bytes, and where each begins: all that decoding needs."""
+
+    def __init__(self, spec: dict):
+        names = {i: t for t, i in spec["model"]["vocab"].items()} | {t["id"]: t["content"] for t in spec["added_tokens"]}
+        shown = [f"{names.get(i, '')} ".encode() for i in range(max(names) + 1)]
+        self.blob = np.frombuffer(b"".join(shown), np.uint8)
+        self.offsets = np.concatenate([[0], np.cumsum([len(s) for s in shown])])
 
     def decode(self, ids: np.ndarray) -> str:
-        """The tokens' strings, with a space between them, read from the offset table."""
+        """The tokens' strings, with a space between them."""
         return _gather(self.blob, self.offsets, ids).tobytes().decode("utf-8")[:-1]
 
 
@@ -254,6 +289,13 @@ def tokenizer(path: str) -> Tokenizer:
     return Tokenizer(path)
 
 
+@lru_cache(4)
+def offset_table(path: str) -> OffsetTable:
+    """The offset table of a file, made once in a process."""
+    with open(path, encoding="utf-8") as file:
+        return OffsetTable(json.load(file))
+
+
 def _pieces(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
     """The rows of ``batches`` in batches of about ``BATCH_BYTES``."""
     for batch in batches:
@@ -267,15 +309,20 @@ def _replaced(df: DataFrame, column: str, name: str, kind) -> StructType:
     return StructType([*fields, StructField(name, kind)])
 
 
-def encode(df: DataFrame, path: str, column: str = "text", name: str = "ids") -> DataFrame:
-    """``df`` with the text ``column`` replaced by ``name``, the array of its token ids.
+def encode(df: DataFrame, path: str, column: str = "text", name: str = "ids", decoded: str | None = None) -> DataFrame:
+    """``df`` with the text ``column`` replaced by ``name``, the array of its token ids, and by
+    ``decoded``, if that is given: the text that these decode to, as ``decode`` makes it, but in
+    the same task, so that the ids need not come back from Spark to Python.
 
     ``path`` is a vocabulary file that every executor can read. A null or empty text has no
     ids; a text of any length is encoded whole. Rows are encoded where they lie, in batches
-    of bounded size; other columns are kept, but for one called ``name``.
+    of bounded size; other columns are kept, but for those called ``name`` and ``decoded``.
     """
     schema = _replaced(df, column, name, ArrayType(IntegerType(), False))
-    rest = [f.name for f in schema.fields[:-1]]
+    if decoded is not None:
+        schema = StructType([f for f in schema.fields if f.name != decoded] + [StructField(decoded, StringType())])
+    names = schema.names
+    rest = [c for c in names if c not in (name, decoded)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = tokenizer(path)
@@ -283,22 +330,24 @@ def encode(df: DataFrame, path: str, column: str = "text", name: str = "ids") ->
             ids = [own.encode(t.as_py()) for t in batch.column(column)]
             ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
             values = pa.array(np.concatenate([np.zeros(0, np.int32), *ids]))
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in rest), pa.ListArray.from_arrays(pa.array(ends), values)],
-                [*rest, name],
-            )
+            columns = [*(batch.column(c) for c in rest), pa.ListArray.from_arrays(pa.array(ends), values)]
+            if decoded is not None:
+                columns.append(pa.array([own.decode(x) for x in ids], pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, names)
         own.forget()
+        give_back()
 
     return document_batches(df.select(*rest, column)).mapInArrow(run, schema)
 
 
 def decode(df: DataFrame, path: str, column: str = "ids", name: str = "decoded") -> DataFrame:
-    """``df`` with ``name``, the text of the token ids in ``column``; no ids give an empty text."""
+    """``df`` with ``name``, the text of the token ids in ``column``; a null array and one of no
+    ids give an empty text. A column called ``name`` is replaced; the others are kept."""
     schema = StructType([f for f in df.schema.fields if f.name != name] + [StructField(name, StringType())])
     kept = [f.name for f in schema.fields[:-1]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = tokenizer(path)
+        own = offset_table(path)
         for batch in _pieces(batches, column):
             lists = batch.column(column)
             texts = [
@@ -308,5 +357,6 @@ def decode(df: DataFrame, path: str, column: str = "ids", name: str = "decoded")
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in kept), pa.array(texts, pa.string())], [*kept, name]
             )
+        give_back()
 
     return document_batches(df.select(*kept)).mapInArrow(run, schema)

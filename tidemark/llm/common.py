@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 from uuid import uuid4
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 _TABLES: list[str] = []
@@ -70,6 +73,15 @@ def document_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def give_back() -> None:
+    """Return what a finished task has freed to the system. A Python worker waits for more tasks
+    and would hold that memory beside those of other stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def held_out(key: str | Column = "doc_id") -> Column:
     """True for the fifth of all documents that no model learns from."""
     key = F.col(key) if isinstance(key, str) else key

@@ -25,7 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import connected_components, document_batches, stored
+from tidemark.llm.common import connected_components, document_batches, give_back, stored
 from tidemark.llm.words import split_words
 
 WORDS, THRESHOLD, RECALL = 5, 0.8, 0.9995
@@ -158,6 +158,7 @@ def _prepared(words: int, threshold: float, runs: int):
                 steps = chosen(flat, sizes, runs, level, threshold)
                 columns[f"level{level}"] = pa.array(steps, pa.list_(pa.int64()))
             yield pa.RecordBatch.from_pydict(columns)
+        give_back()
 
     return run
 
@@ -194,6 +195,7 @@ def _tokens(docs: DataFrame, rows: DataFrame, words: int) -> DataFrame:
             for part in _parts(iter([batch.filter(pa.array(wanted))]), 0):
                 sets = [s.astype(_TOKENS).tobytes() for s in shingle_sets(part.column(0), words)]
                 yield pa.RecordBatch.from_arrays([part.column(1), pa.array(sets, pa.binary())], ["row", "tokens"])
+        give_back()
 
     found = docs.select("text", F.xxhash64("doc_id", F.xxhash64("text")).alias("row")).mapInArrow(run, "row long, tokens binary")
     return found.dropDuplicates(["row"])
@@ -292,6 +294,7 @@ def _verified(threshold: float):
                 columns = [np.concatenate(c).astype(np.int64) for c in zip(*out)]
                 keep = columns[1] > 0
                 yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in columns], ["uid", "texts", "documents", "label"])
+        give_back()
 
     return run
 

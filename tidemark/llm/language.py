@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import document_batches
+from tidemark.llm.common import document_batches, give_back
 from tidemark.llm.words import letter_groups, split_words
 
 #: Hashed letter groups; the model has this many scores for each language, whatever the input.
@@ -268,6 +268,8 @@ def identify(docs: DataFrame, model: Model, switch: float = SWITCH, keep: tuple[
                     [*part.columns[:-1], *own.label(part.columns[-1])],
                     [*keep, "lang_pred", "score", "supported", "spans"],
                 )
+        del own
+        give_back()
 
     kept = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
     return document_batches(docs.select(*keep, F.col("text").alias("_text"))).mapInArrow(

@@ -313,8 +313,7 @@ ORACLE["op9_secrets"] = _secrets_sql()
 
 def encoded(docs: DataFrame, path: str) -> DataFrame:
     """Digests of the token ids of ``docs`` (doc_id, text) and of what they decode to."""
-    ids = bpe.encode(docs.select("doc_id", "text"), path)
-    return bpe.decode(ids, path).select(
+    return bpe.encode(docs.select("doc_id", "text"), path, decoded="decoded").select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.encode(F.array_join(F.col("ids").cast("array<string>"), " "), "UTF-8"), 256).alias("ids_sha256"),
@@ -366,7 +365,8 @@ WITH cyclic AS MATERIALIZED (
   SELECT list_transform(range(256), lambda b: list_reduce(list_concat([b], range(8)),
     lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
 ), source AS MATERIALIZED (
-  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS w,
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+') AS w,
     xor(list_reduce(list_concat([4294967295], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ord(x) AS BIGINT))),
       lambda c, x: xor(c >> 8, t[1 + (xor(c, x) & 255)])), 4294967295) AS h FROM documents, cyclic
 ), placed AS (
