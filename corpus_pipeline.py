@@ -53,8 +53,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, and the digest of what they decode to."""
     path = public_tokenizers.path(VOCABULARY)
-    ids = bpe.encode(docs.select("doc_id", "lang", "source", "text"), path)
-    return bpe.decode(ids, path).select(
+    return bpe.encode(docs.select("doc_id", "lang", "source", "text"), path, decoded="decoded").select(
         "doc_id",
         "lang",
         "source",
