@@ -158,6 +158,13 @@ def test_models_do_not_depend_on_the_plan(spark):
     assert found[0] == found[1]
 
 
+def test_training_tasks_grow_slowly(spark):
+    """Every iteration of a fit runs all tasks: rows of a task grow before their number does."""
+    rows = spark.range(10).selectExpr("double(id) AS a")
+    parts = {n: M.laid_out(rows, n).rdd.getNumPartitions() for n in (10, 12_000, 3_600_000, 36_000_000, 216_000_000)}
+    assert list(parts.values()) == [1, 3, 24, 24, 109]
+
+
 @pytest.mark.parametrize("share", [0.001, 0.2, 0.999])
 def test_split_shares(spark, share):
     train, test = L.split_rows(spark.range(20_000), ["id"], share)
