@@ -318,3 +318,18 @@ def test_quantiles_of_large_groups(spark, planned):
     for r in exact.collect():
         for c in "abc":
             assert [got[r.k, c][n] for n in probs] == pytest.approx(r[c], rel=1e-12)
+
+
+def test_few_groups_do_not_gather_rows_for_quantiles(spark, monkeypatch):
+    """Two columns are two groups: their rows meet the brackets where they lie."""
+    plans = []
+
+    def seen(df, *args, **named):
+        plans.append(df._jdf.queryExecution().toString())
+        return running_total(df, *args, **named)
+
+    monkeypatch.setattr(O, "running_total", seen)
+    df = spark.range(50_000).selectExpr("double(id) AS a", "double(id % 7) AS b")
+    got = {r.column: r.m for r in O.quantiles(df, ["a", "b"], {"m": 0.5}).collect()}
+    assert got == {"a": 24_999.5, "b": 3.0}
+    assert "BroadcastHashJoin" in plans[0] and "SortMergeJoin" not in plans[0]

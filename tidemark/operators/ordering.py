@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemark.functions.sizing import durable
 from tidemark.operators.skew import balanced_join, group_anew, running_total
 
 #: Accuracy of the sketch of a group's values (ranks are wrong by one in so many at most), the
@@ -76,10 +77,12 @@ def quantiles(
     ``probs`` maps output names to probabilities in [0, 1]; missing values and, as in
     any grouped summary here, missing group keys are ignored.
 
-    A sketch brackets every requested position between two values, with room to spare. Then one
-    pass counts the values between brackets and keeps only those inside, of which the two order
-    statistics around the position are read off after a distributed running total. So what is
-    put in order is a small share of the rows, whatever their number.
+    A sketch brackets every requested position between two values, with room to spare. It is
+    stored, so that its true size is known and few groups are sent to the rows: dealt out by a few
+    groups, the rows would fill as few tasks. Then one pass counts the values between brackets and
+    keeps only those inside, of which the two order statistics around the position are read off
+    after a distributed running total. So what is put in order is a small share of the rows,
+    whatever their number.
     """
     by, cols = list(by), list(cols)
     present = df.na.drop(subset=by) if by else df
@@ -97,8 +100,8 @@ def quantiles(
     ).select(*by, "_s.column", "_s.value").where(F.col("value").isNotNull())
     group = [*by, "column"]
     around = [min(max(p + side, 0.0), 1.0) for p in probs.values() for side in (-BRACKET, BRACKET)]
-    sketch = long.groupBy(*group).agg(
-        F.count(F.lit(1)).alias("_total"), F.percentile_approx("value", around, ACCURACY).alias("_q")
+    sketch = durable(
+        long.groupBy(*group).agg(F.count(F.lit(1)).alias("_total"), F.percentile_approx("value", around, ACCURACY).alias("_q"))
     )
     bounds = [(F.col("_q")[2 * i], F.col("_q")[2 * i + 1]) for i in range(len(names))]
     value = F.col("value")
