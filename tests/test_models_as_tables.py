@@ -1,5 +1,7 @@
 """Fitted models as tables: trees walked by all rows, importances, networks passed forward."""
 
+import time
+
 import numpy as np
 import pytest
 from pyspark.ml import classification as C, regression as R
@@ -74,3 +76,24 @@ def test_margin_certificate(spark):
     good, bad = (M.Model(lambda f, n=n: C.LinearSVC(featuresCol="features", labelCol="label", regParam=0.1, standardization=False, maxIter=n), scaled=True) for n in (200, 1))
     own, early = (Z.margin_certificate(M.fit(df, m, NAMES, "y"), df, "y").first() for m in (good, bad))
     assert own.n == 300 and own.slope < 2e-3 < 0.02 < early.slope and 0 < own.n_inside < 300
+
+
+def test_layers_are_worked_out_once(spark):
+    """Five hidden layers of 24 units: worked out anew for each unit of the next layer, they would
+    take millions of sums a row."""
+    draw = np.random.default_rng(3)
+    sizes = [3, 24, 24, 24, 24, 24, 2]
+    layers = [draw.normal(size=(b, a + 1)) for a, b in zip(sizes, sizes[1:])]
+    cells = [(k, u, i, float(w[u, i])) for k, w in enumerate(layers) for u in range(w.shape[0]) for i in range(w.shape[1])]
+    weights = spark.createDataFrame(cells, "layer int, unit int, input int, weight double")
+    x = draw.normal(size=(20, 3))
+    rows = spark.createDataFrame([(i, r) for i, r in enumerate(x.tolist())], "id int, x array<double>")
+    begun = time.monotonic()
+    got = {r.id: r.outputs for r in Z.forward(rows, weights, "x").collect()}
+    assert time.monotonic() - begun < 60
+    for i, v in enumerate(x):
+        for w in layers:
+            total = w @ np.append(v, 1.0)
+            v = 1 / (1 + np.exp(-total))
+        share = np.exp(total - total.max())
+        assert got[i] == pytest.approx(share / share.sum(), rel=1e-9)

@@ -69,7 +69,9 @@ def forward(rows: DataFrame, weights: DataFrame, inputs: str, name: str = "outpu
     of hidden layers pass their sum through the logistic function, the last layer's sums are
     brought to shares that add up to 1. ``inputs`` is an array column.
 
-    Each layer is a scalar of the table, so rows stay where they are.
+    Each layer is a scalar of the table, so rows stay where they are. A unit sees its inputs as a
+    variable of a function, not as an expression: Spark puts expressions of one use together, and a
+    layer would then be worked out again for every unit of the next one.
     """
     layers = weights.agg(F.max("layer")).first()[0] + 1
     out = rows.withColumn("_v", F.col(inputs))
@@ -77,11 +79,12 @@ def forward(rows: DataFrame, weights: DataFrame, inputs: str, name: str = "outpu
         own = weights.where(F.col("layer") == layer).groupBy("unit").agg(F.sort_array(F.collect_list(F.struct("input", "weight"))).alias("w"))
         units = own.agg(F.transform(F.sort_array(F.collect_list(F.struct("unit", "w"))), lambda u: u["w"]["weight"]).alias("u")).scalar()
 
-        def summed(w: Column) -> Column:
-            products = F.zip_with(F.concat("_v", F.array(F.lit(1.0))), w, lambda a, b: a * b)
-            return F.aggregate(products, F.lit(0.0), lambda total, p: total + p)
+        def summed(v: Column, w: Column) -> Column:
+            return F.aggregate(F.zip_with(v, w, lambda a, b: a * b), F.lit(0.0), lambda total, p: total + p)
 
-        out = out.withColumn("_u", units).withColumn("_s", F.transform("_u", summed))
+        inputs_once = F.array(F.concat("_v", F.array(F.lit(1.0))))
+        sums = F.transform(inputs_once, lambda v: F.transform("_u", lambda w: summed(v, w)))
+        out = out.withColumn("_u", units).withColumn("_s", F.get(sums, F.lit(0)))
         if layer < layers - 1:
             out = out.withColumn("_v", F.transform("_s", lambda s: 1 / (1 + F.exp(-s))))
     top = F.array_max("_s")
