@@ -237,6 +237,30 @@ def test_density_clusters(spark):
     assert [got[i] for i in range(len(points))] == brute_density(points, 0.5, 5)
 
 
+def test_crowded_cells_are_shared_out(spark, monkeypatch):
+    """Two rings far apart, all in few cells of the grid: clusters hang together over many tasks,
+    and a task names no more pairs of boxes than it takes to hang its boxes together."""
+    monkeypatch.setattr(K, "CELL_ROWS", 16)
+    turn = np.linspace(0, 2 * np.pi, 80, endpoint=False)
+    ring = np.column_stack([np.cos(turn), np.sin(turn), 0 * turn])
+    points = np.vstack([ring, ring + [0, 0, 3], [[0, 0, 1.5]]])
+    df = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "id long, point array<double>")
+    got = {r.id: (r.cluster, r.is_core) for r in K.density_clusters(df, "id", 3, 0.9, 5).collect()}
+    assert [got[i] for i in range(len(points))] == brute_density(points, 0.9, 5)
+    assert {c for c, _ in got.values()} == {0, 80, None}
+    core = df.selectExpr("id AS site", "id AS box", "point", "point AS _proj").where("id < 80")
+    pairs = 80 * 20
+    assert 79 <= K._touching_boxes(core, 0.9, 3).count() < pairs
+
+
+def test_distances_at_the_limit_are_exact():
+    draw = np.random.default_rng(5)
+    x = 1000 + draw.integers(0, 4, (60, 3)).astype(float)
+    for eps in (1.0, np.sqrt(2.0), 2.0):
+        close = np.concatenate([c for _, c in K._close(x, x, eps)])
+        assert (close == (np.square(x[:, None] - x).sum(2) <= eps * eps)).all()
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 30) if i != 11] + [(50, 52), (52, 51)]
     got = dict(K.connected_components(spark.createDataFrame(edges, "a long, b long")).collect())
