@@ -1,5 +1,7 @@
 """Forests without a limit of depth: against brute force, and the same by every way."""
 
+import tracemalloc
+
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
@@ -136,3 +138,47 @@ def test_rows_of_known_leaves_stay_where_they_are(spark, monkeypatch, classify):
     same = df.withColumn("y", F.lit(1.0))
     assert {r.predicted for r in M.predict(fitted(same, classify=classify, tried=-1 if classify else 0), same).collect()} == {1.0}
     assert sent[2] == 0
+
+
+def _noise(n, seed=1):
+    """Binned rows, weights and cut points of five features that tell nothing of the label."""
+    draw = np.random.default_rng(seed)
+    cuts = [np.arange(31.0), np.arange(31.0), np.arange(31.0), np.arange(5.0), np.arange(0.0)]
+    bins = np.column_stack([draw.integers(0, len(c) + 1, n) for c in cuts]).astype(np.uint8)
+    return bins, draw.random(n), draw.integers(1, 4, n).astype(float), cuts
+
+
+def test_growing_a_deep_tree_needs_memory_of_its_rows_only():
+    """Not of a full histogram for each of its tens of thousands of nodes."""
+    bins, y, w, cuts = _noise(60_000)
+    tracemalloc.start()
+    nodes = forest.grow(bins, y, w, cuts, 1 << 20, len(cuts), np.random.default_rng(0))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(nodes.n) > 30_000
+    assert peak < 16e6  # 23e6 with full histograms
+
+
+@pytest.mark.parametrize("at_once", [3, 2048])
+def test_splits_are_those_of_full_histograms(monkeypatch, at_once):
+    """At every node, to the last digit and with the first of equal gains, for few nodes at a time too."""
+    monkeypatch.setattr(forest, "NODES_AT_ONCE", at_once)
+    bins, y, w, cuts = _noise(700)
+    for labels in (y, np.round(y), np.round(3 * y)):
+        nodes = forest.grow(bins, labels, w, cuts, 1 << 20, len(cuts), np.random.default_rng(0))
+        at, cells = np.zeros(len(bins), int), 32
+        for node in range(len(nodes.n)):  # parents come before children
+            own = np.flatnonzero(at == node)
+            assert nodes.n[node] == w[own].sum()
+            found = []
+            for f in range(len(cuts)):
+                sums = forest._histogram(bins[own], np.zeros(len(own), int), w[own], labels[own], 1, cells, f)
+                cut, gain = forest._gains(*sums)
+                found.append((gain[0], -f, cut[0]))
+            gain, f, cut = max(found)
+            if nodes.left[node] < 0:
+                assert gain <= 1e-9
+                continue
+            assert (nodes.feature[node], nodes.threshold[node], nodes.gain[node]) == (-f, cuts[-f][cut], gain)
+            right = bins[own, -f] > cut
+            at[own] = np.where(right, nodes.right[node], nodes.left[node])
