@@ -357,3 +357,23 @@ def test_few_groups_do_not_gather_rows_for_quantiles(spark, monkeypatch):
     got = {r.column: r.m for r in O.quantiles(df, ["a", "b"], {"m": 0.5}).collect()}
     assert got == {"a": 24_999.5, "b": 3.0}
     assert "BroadcastHashJoin" in plans[0] and "SortMergeJoin" not in plans[0]
+
+
+def test_ranked_cells_are_put_back_into_rows_by_tasks_of_few_rows(spark, planned, monkeypatch):
+    """Rank correlation: the cells of a row are dealt out by its number, to tasks whose rows do not
+    grow with the table; a missing group is a group."""
+    monkeypatch.setattr(S, "TASK_ROWS", 50)
+    cells = [(None if i % 3 == 0 else i % 3, float(i * 7 % 40), float(i * i % 23)) for i in range(600)]
+    rows = spark.createDataFrame(cells, "g int, a double, b double")
+    ranked = S._ranked_rows(rows, ["a", "b"], ["g"])
+    found = ranked.select("g", "a", "b", F.spark_partition_id().alias("task")).collect()
+    assert max(collections.Counter(r["task"] for r in found).values()) < 150
+
+    def rank(own, v):
+        return sum(o < v for o in own) + (sum(o == v for o in own) + 1) / 2
+
+    expected = collections.Counter()
+    for g in (None, 1, 2):
+        a, b = zip(*[c[1:] for c in cells if c[0] == g])
+        expected.update((g, rank(a, x), rank(b, y)) for x, y in zip(a, b))
+    assert collections.Counter((r["g"], r["a"], r["b"]) for r in found) == expected

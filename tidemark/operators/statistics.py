@@ -12,6 +12,8 @@ from tidemark.functions.sizing import durable
 from tidemark.operators.ordering import distinct_ranks, quantiles
 from tidemark.operators.skew import balanced_join, running_total
 
+#: Rows that one task puts together from their ranked cells.
+TASK_ROWS = 100_000
 #: A higher polynomial degree must raise R² by more than this over the degree below.
 DEGREE_GAIN = 0.05
 
@@ -91,15 +93,21 @@ def _ranked_rows(df: DataFrame, cols: Sequence[str], by: Sequence[str]) -> DataF
     """Every cell replaced by its mean rank in its column.
 
     All columns are ranked together as (row, column, value) cells, with one join, and
-    put back into rows by the row number of the stored table.
+    put back into rows by the row number of the stored table. A row's cells come from as many
+    tasks, where they have nothing to add up: they are dealt out first, to tasks of so many
+    rows, and then put together.
     """
     stored = durable(df.withColumn("_row", F.monotonically_increasing_id()))
-    cells = [F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in cols]
+    cells = [F.struct(F.lit(i).alias("column"), F.col(c).alias("value")) for i, c in enumerate(cols)]
     long = stored.select("_row", *by, F.inline(F.array(*cells)))
-    ranks = distinct_ranks(long, "value", [*by, "column"])
-    placed = balanced_join(long, ranks, [*by, "column", "value"], null_safe=True)
-    return placed.groupBy("_row", *by).agg(
-        *[F.max(F.when(F.col("column") == c, F.col("rank"))).alias(c) for c in cols]
+    # one struct, which is never missing, is all that the rows of the join carry beside their number
+    key = F.struct(*by, "column", "value").alias("_key")
+    ranks = distinct_ranks(long, "value", [*by, "column"]).select(key, "rank")
+    # a left join, so that the cells are never sent whole: a plan's estimate leaves out their number
+    placed = balanced_join(long.select("_row", key), ranks, ["_key"], "left").select("_row", "_key.*", "rank")
+    dealt = placed.drop("value").repartition(stored.count() // TASK_ROWS + 1, "_row")
+    return dealt.groupBy("_row", *by).agg(
+        *[F.max(F.when(F.col("column") == i, F.col("rank"))).alias(c) for i, c in enumerate(cols)]
     )
 
 
