@@ -1,6 +1,7 @@
 """Operators on skewed data, under compact plans and plans for large inputs, by brute force."""
 
 import collections
+import datetime
 
 import numpy as np
 import pytest
@@ -377,3 +378,18 @@ def test_ranked_cells_are_put_back_into_rows_by_tasks_of_few_rows(spark, planned
         a, b = zip(*[c[1:] for c in cells if c[0] == g])
         expected.update((g, rank(a, x), rank(b, y)) for x, y in zip(a, b))
     assert collections.Counter((r["g"], r["a"], r["b"]) for r in found) == expected
+
+
+def test_folds_of_readings_are_worked_out_once(spark, tmp_path, monkeypatch):
+    """The lines and the scores of m20_cv_auc read stored folds, not every reading's hash again."""
+    from tidemark.plans.catalog import models
+
+    columns = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_shipdate timestamp_ntz, " \
+        "l_quantity double, l_extendedprice double, l_discount double, l_tax double"
+    day = datetime.datetime(2024, 1, 1)
+    lines = [(i, i % 50, i % 9, 1 + i % 7, day, float(i % 50), 900.0 * (i % 119), i % 11 / 100, i % 9 / 100) for i in range(400)]
+    spark.createDataFrame(lines, columns).write.parquet(f"{tmp_path}/lineitem.parquet")
+    seen, fitted = [], M.linear_folds
+    monkeypatch.setattr(models.M, "linear_folds", lambda df, *names: seen.append(df) or fitted(df, *names))
+    assert 0 <= models.m20_cv_auc(spark, str(tmp_path)).first()["cv_auc"] <= 1
+    assert "md5" not in seen[0]._jdf.queryExecution().optimizedPlan().toString()

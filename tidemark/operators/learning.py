@@ -348,7 +348,8 @@ def linear_folds(df: DataFrame, x: str, y: str, fold: str = "fold") -> DataFrame
     lines = sums.select(
         fold, slope.alias("_b"), ((out["sy"] - slope * out["sx"]) / out["n"]).alias("_a")
     )
-    joined = both.join(lines, fold)
+    # a row for each fold: stored, its size is known, and the rows are not dealt out by few folds
+    joined = both.join(durable(lines), fold)
     return joined.select(
         *df.columns, fy.alias("actual"), (F.col("_a") + F.col("_b") * fx).alias("predicted")
     )

@@ -231,6 +231,6 @@ def m20_cv_auc(spark, sf):
     """Mean area under the curve over five folds, of a line fitted to the others; a line ranks
     as its feature does, up to the sign of its slope."""
     rows = B.labelled_machines(spark, sf)
-    folded = rows.withColumn("fold", fold_of([F.col(k) for k in B.MACHINE_KEY]))
+    folded = durable(rows.select(DAYS, "failure", fold_of([F.col(k) for k in B.MACHINE_KEY]).alias("fold")))
     scored = M.linear_folds(folded, DAYS, "failure").withColumn("model", F.lit("line"))
     return round_all(M.cross_validated_auc(scored, "failure", "predicted").select("cv_auc"))
