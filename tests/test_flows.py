@@ -56,6 +56,9 @@ def test_customer_flow(spark, tmp_path):
     assert people["3"].Country is None
     assert out["group_counts"].collect()[0]["count"] == 3
     assert out["parallel_lines"].count() == 16
+    # the summary is worked out once, not for each report
+    for name in ("customer_summary", "scatter"):
+        assert "Aggregate" not in out[name]._jdf.queryExecution().optimizedPlan().toString()
 
 
 def test_train_save_score_monitor(spark, readings):

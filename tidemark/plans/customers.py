@@ -109,7 +109,8 @@ def run(
     crop_rows: int = 1,
     crop_cols: int = 1,
 ) -> dict[str, DataFrame]:
-    """The whole flow. The merged table is written once; every report reads it back."""
+    """The whole flow. The merged table is written once, and so is the summary per customer, whose
+    shuffle takes nearly all of its rows; the reports read them back."""
     spark = transactions.sparkSession
     spaced = next(c for c in system1.columns if c.strip() == order)
     first = transform(clean(system1, [spaced], crop_rows, crop_cols))
@@ -119,7 +120,7 @@ def run(
     write_parquet(merge(customers, enriched), f"{out}/merged")
     write_csv(enriched, f"{out}/enriched_transactions")
     merged = spark.read.parquet(f"{out}/merged")
-    summary = per_customer(merged)
+    summary = durable(per_customer(merged))
     lines, medians = parallel_frame(summary)
     types = [r[0] for r in stores.select("StoreType").distinct().orderBy("StoreType").limit(MOST_TYPES + 1).collect()]
     if len(types) > MOST_TYPES:
