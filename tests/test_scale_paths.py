@@ -166,6 +166,35 @@ def test_training_tasks_grow_slowly(spark):
     assert list(parts.values()) == [1, 3, 24, 24, 109]
 
 
+def test_linear_models_use_few_tasks(spark, monkeypatch):
+    """A pass of a linear model over some thousand rows costs no more than one task; the model is the same."""
+    rows = spark.range(12_000).selectExpr("double(id % 7) AS a", "double(id % 5) AS b", "int(id % 7 + id % 3 > 4) AS y")
+    laid_out, seen = M.laid_out, []
+    monkeypatch.setattr(M, "laid_out", lambda *a: seen.append(laid_out(*a)) or seen[-1])
+
+    def fitted(name):
+        return M.fit(rows, M.CLASSIFIERS[name], ["a", "b"], "y").stages[-1]
+
+    few, _ = fitted("Logistic Regression"), fitted("Decision Tree")
+    monkeypatch.setattr(M, "LINEAR_CELLS", 1)
+    many = fitted("Logistic Regression")
+    assert [df.rdd.getNumPartitions() for df in seen] == [1, 3, 3]
+    assert few.coefficients.toArray().tolist() == pytest.approx(many.coefficients.toArray().tolist(), rel=1e-6)
+
+
+def test_fits_of_a_board_are_one_queue(spark, monkeypatch):
+    """Fits of all rows and of the folds, slow models first; each sees its own rows."""
+    rows = spark.range(60).selectExpr("double(id) AS a", "double(id % 4) AS y", "int(id % 5) AS fold")
+    order = []
+    monkeypatch.setattr(M, "fit", lambda df, model, *rest: order.append(model) or (model, df.agg(F.sum("a")).first()[0]))
+    quick, slow = M.Model(lambda f: None), M.Model(lambda f: None, effort=1)
+    whole, folds = M.fit_board(rows, {"quick": quick, "slow": slow}, ["a"], "y", parallelism=1)
+    assert [m is slow for m in order] == [True] * 6 + [False] * 6
+    assert whole == {"quick": (quick, 1770.0), "slow": (slow, 1770.0)}
+    outside = {k: 1770.0 - sum(range(k, 60, 5)) for k in range(5)}
+    assert folds == {(n, k): (m, outside[k]) for n, m in (("quick", quick), ("slow", slow)) for k in range(5)}
+
+
 @pytest.mark.parametrize("share", [0.001, 0.2, 0.999])
 def test_split_shares(spark, share):
     train, test = L.split_rows(spark.range(20_000), ["id"], share)
