@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.sizing import scratch_path
 from tidemark.operators import joins as J, learning as M, sampling as L
 from tidemark.plans import customers, eda, maintenance, telemetry
+from tidemark.plans.catalog import learning as boards
 
 
 @pytest.fixture(scope="module")
@@ -136,3 +137,17 @@ def test_spines(spark):
     hourly = spark.createDataFrame([(1, 5, 2.0)], "plant int, hour int, m double")
     filled = J.fill_hours(hourly, ["plant"], ["m"], hourly.select("plant"))
     assert filled.count() == 24 and filled.agg(F.sum("m")).collect()[0][0] == 2.0
+
+
+def test_board_splits_read_stored_rows(spark, tmp_path):
+    """Splits, folds and fits do not go over the order lines or the texts again."""
+    docs = spark.range(40).selectExpr("id AS doc_id", "repeat('one two. ', int(id)) AS text", "'en' AS lang", "'web' AS source", "9 * id AS n_chars")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    docs.selectExpr("doc_id", "int(doc_id % 2) AS quality", "0 AS toxic").write.parquet(f"{tmp_path}/labels.parquet")
+    measures = [f"double(id) AS l_{c}" for c in ("quantity", "extendedprice", "discount", "tax")]
+    lines = spark.range(80).selectExpr("id AS l_orderkey", "id % 40 AS l_partkey", "id % 9 AS l_suppkey", "1 AS l_linenumber", "DATE'2020-01-01' AS l_shipdate", *measures)
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    for split, key in ((boards.doc_split, "doc_id"), (boards.asset_split, "l_partkey")):
+        train, test = split(spark, str(tmp_path))
+        assert not [f for df in (train, test) for f in df.inputFiles() if str(tmp_path) in f]
+        assert sorted(r[0] for df in (train, test) for r in df.select(key).collect()) == list(range(40))
