@@ -182,3 +182,62 @@ def test_splits_are_those_of_full_histograms(monkeypatch, at_once):
             assert (nodes.feature[node], nodes.threshold[node], nodes.gain[node]) == (-f, cuts[-f][cut], gain)
             right = bins[own, -f] > cut
             at[own] = np.where(right, nodes.right[node], nodes.left[node])
+
+
+@pytest.mark.parametrize("classify, task_rows", [(False, 60), (True, 10**6)])
+def test_large_forests_grow_where_their_rows_are_sent(spark, monkeypatch, classify, task_rows):
+    """The same trees as of rows that are dealt out, large nodes and cells of several rows too; scores
+    write neither a table of the model nor rows for each tree."""
+    monkeypatch.setattr(forest, "TASK_ROWS", task_rows)
+    settings = dict(trees=5, bootstrap=True, classify=classify, depth=9, tried=2 if classify else 0)
+    score = (lambda m, df: M.classify(m, df).select("id", "score")) if classify else (lambda m, df: M.predict(m, df).select("id", "predicted"))
+    odd = rows_of(spark, 120, 9).withColumn("id", F.col("id") + 1000).withColumn("a", F.lit(-1e9))
+    for df in (rows_of(spark, 500, 1, classify), rows_of(spark, 400, 2, classify).withColumns({"a": F.lit(1.0), "c": F.round("c")})):
+        asked = df.unionByName(odd).unionByName(odd)
+        dealt = fitted(df, **settings)
+        want = sorted(map(tuple, score(dealt, asked).collect()))
+        monkeypatch.setattr(forest, "SENT_NODES", 10)
+        monkeypatch.setattr(forest.Forest, "_blocks", lambda *args: pytest.fail("rows are dealt out"))
+        monkeypatch.setattr(forest, "BLOCK", 64)
+        model = fitted(df, **settings)
+        stored = []
+        monkeypatch.setattr(forest, "durable", lambda table, kept=forest.durable: stored.append(table.columns) or kept(table))
+        got = sorted(map(tuple, score(model, asked).collect()))
+        assert [r[0] for r in got] == [r[0] for r in want] and len(got) == df.count() + 240
+        assert [r[1] for r in got] == pytest.approx([r[1] for r in want], rel=1e-9)
+        assert stored == [["_cell"], ["_cell", "_value"]]
+        nodes = ["tree", "part", "node", "left", "right", "feature", "threshold", "n"]
+        tables = [sorted(map(tuple, m.stages[-1].node_table().select(*nodes).fillna(-1).collect())) for m in (dealt, model)]
+        assert tables[0] == tables[1]
+        again = sorted(map(tuple, score(model, asked).collect()))  # now from the table
+        assert [r[1] for r in again] == pytest.approx([r[1] for r in want], rel=1e-9)
+        monkeypatch.setattr(forest, "SENT_BYTES", 300)  # cells in several parts, fits on rows that are dealt out
+        again = sorted(map(tuple, score(model, asked).collect()))
+        assert [r[1] for r in again] == pytest.approx([r[1] for r in want], rel=1e-9)
+        monkeypatch.undo()
+        monkeypatch.setattr(forest, "TASK_ROWS", task_rows)
+
+
+def test_equal_rows_are_put_together(spark):
+    """By counting, by sorting, and where keys of 64 bits cannot tell all cells apart."""
+    draw = np.random.default_rng(4)
+    for features, bins in ((3, 9), (5, 32), (16, 32)):
+        x = draw.integers(0, bins, (200, features)).astype(np.uint8)[draw.integers(0, 200, 5000)]
+        first, cell = forest._cells(x, [np.arange(bins - 1.0)] * features)
+        assert len(first) == len(np.unique(x, axis=0)) and (x[first][cell] == x).all()
+    assert forest._cells(np.arange(250, dtype=np.uint8)[:, None], [np.arange(255.0)]) is None
+
+
+@pytest.mark.parametrize("cells", [6, 25, 32, 40])
+def test_splits_of_small_nodes_are_those_of_full_histograms(cells):
+    """Only bins with rows get a place there; sums are the same to the last digit."""
+    draw = np.random.default_rng(cells)
+    node, bins = np.sort(draw.integers(0, 300, 3000)), draw.integers(0, cells, 3000).astype(np.uint8)
+    node = np.unique(node, return_inverse=True)[1]
+    w = draw.integers(1, 4, 3000).astype(float)
+    for s in (w * draw.normal(size=3000), w * draw.integers(0, 2, 3000)):
+        n, sums = (np.bincount(node * cells + bins, v, (node[-1] + 1) * cells).reshape(-1, cells) for v in (w, s))
+        cut, gain = forest._gains(n, sums)
+        at, most = forest._best_present(bins, node, w, s, len(n), cells, False)
+        some = np.isfinite(gain)
+        assert some.any() and (gain == most).all() and (cut == at)[some].all()

@@ -240,37 +240,46 @@ def fit_board(
     label: str,
     folds: int = FOLDS,
     parallelism: int = PARALLEL_FITS,
-) -> tuple[dict[str, PipelineModel], dict[tuple[str, int], PipelineModel]]:
+    use: Callable[[str, int | None, PipelineModel], object] | None = None,
+) -> tuple[dict, dict]:
     """Fit every model on all rows, and once per fold on all rows outside the fold. All fits are
-    in one queue, those of most effort first, so that none waits for a slow one to end."""
+    in one queue, those of most effort first, so that none waits for a slow one to end. With
+    ``use`` the results are what it returns for a name, a fold (None: all rows) and a model; it
+    is called in the queue."""
     keys = [(name, k) for name in models for k in (None, *range(folds))]
     queue = sorted(keys, key=lambda key: -models[key[0]].effort)
 
     def task(name: str, k: int | None) -> Callable:
         rows = folded if k is None else folded.where(F.col("fold") != k)
-        return lambda: fit(rows, models[name], features, label)
+        if use is None:
+            return lambda: fit(rows, models[name], features, label)
+        return lambda: use(name, k, fit(rows, models[name], features, label))
 
     fitted = dict(zip(queue, _run_all(folded.sparkSession, [task(*key) for key in queue], parallelism)))
     whole = {name: fitted[name, None] for name in models}
     return whole, {(name, k): fitted[name, k] for name, k in keys if k is not None}
 
 
-def score_folds(
-    fitted: dict[tuple[str, int], PipelineModel],
-    folded: DataFrame,
+def scored_board(
+    train: DataFrame,
+    test: DataFrame,
+    models: dict[str, Model],
+    features: Sequence[str],
+    label: str,
     score: Callable[[PipelineModel, DataFrame], DataFrame],
-) -> DataFrame:
-    """Out-of-fold predictions of every model in one table (``model``, ``fold``, ...)."""
-    parts = [
-        score(m, folded.where(F.col("fold") == k)).withColumn("model", F.lit(name))
-        for (name, k), m in fitted.items()
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    parallelism: int = PARALLEL_FITS,
+) -> tuple[dict[str, PipelineModel], DataFrame, DataFrame]:
+    """The models of all rows, their predictions of the test rows and the out-of-fold predictions of
+    every model, each in one table (``model``, ``fold``, ...). A model scores its rows as soon as it
+    is fitted: one that grows its trees only then does so beside the other fits."""
 
+    def use(name: str, k: int | None, m: PipelineModel) -> tuple[PipelineModel, DataFrame]:
+        rows = test if k is None else train.where(F.col("fold") == k)
+        return m, score(m, rows).withColumn("model", F.lit(name))
 
-def _score_test(fitted: dict[str, PipelineModel], test: DataFrame, score: Callable) -> DataFrame:
-    parts = [score(m, test).withColumn("model", F.lit(name)) for name, m in fitted.items()]
-    return reduce(DataFrame.unionByName, parts)
+    whole, folds = fit_board(train, models, features, label, parallelism=parallelism, use=use)
+    held_out, out_of_fold = (reduce(DataFrame.unionByName, [df for _, df in d.values()]) for d in (whole, folds))
+    return {name: m for name, (m, _) in whole.items()}, held_out, out_of_fold
 
 
 def _stored(
@@ -316,11 +325,11 @@ def regression_leaderboard(
         return predict(m, df).withColumn("actual", F.col(label).cast("double"))
 
     train, test = _stored(train, test, features, label)
-    fitted, folds = fit_board(train, models, features, label, parallelism=parallelism)
+    fitted, tested, out_of_fold = scored_board(train, test, models, features, label, score, parallelism)
     if whole is not None:
         whole |= fitted
-    held_out = regression_metrics(_score_test(fitted, test, score), ["model"]).drop("n")
-    cv = cross_validated_regression(score_folds(folds, train, score))
+    held_out = regression_metrics(tested, ["model"]).drop("n")
+    cv = cross_validated_regression(out_of_fold)
     return held_out.join(cv, "model").orderBy(F.desc("r2"), "model")
 
 
@@ -337,11 +346,11 @@ def classification_leaderboard(
         return classify(m, df)
 
     train, test = _stored(train, test, features, label)
-    whole, folds = fit_board(train, models, features, label, parallelism=parallelism)
-    scored = durable(_score_test(whole, test, score).select("model", label, "prediction", "score"))
+    _, tested, out_of_fold = scored_board(train, test, models, features, label, score, parallelism)
+    scored = durable(tested.select("model", label, "prediction", "score"))
     metrics = classification_metrics(scored, ["model"], label=label)
     auc = roc_auc(scored, ["model"], label=label)
-    cv = cross_validated_auc(score_folds(folds, train, score), label)
+    cv = cross_validated_auc(out_of_fold, label)
     return metrics.join(auc, "model").join(cv, "model").orderBy(F.desc("auc"), "model")
 
 
