@@ -62,6 +62,26 @@ def test_customer_flow(spark, tmp_path):
         assert "Aggregate" not in out[name]._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_customer_flow_leaves_no_shuffle_files(spark, tmp_path):
+    """Those of one table that is written are gone before the next one is; later plans keep theirs."""
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {f for f in (files.apply(i).getName() for i in range(files.size())) if f.startswith("shuffle_")}
+
+    people = spark.range(50).selectExpr("id AS row_no", "concat('CC1_', id) AS CustomerID", "string(20 + id) AS Age")
+    stores = spark.range(3).selectExpr("concat('s', id) AS StoreID", "'Online Store' AS StoreType")
+    sold = spark.range(500).selectExpr("id % 90 AS OrderNumber", "id % 7 AS ProductNr", "string(id % 60) AS CustomerID", "concat('s', id % 3) AS StoreID")
+    prices = spark.range(7).selectExpr("id AS ProductNr", "double(id) AS Price")
+    before = shuffled()
+    out = customers.run(people.where("row_no % 2 = 0"), people.where("row_no % 2 = 1"), stores, sold, prices, str(tmp_path), crop_rows=0, crop_cols=0)
+    assert not shuffled() - before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == "false"
+    totals = out["total_per_customer"]
+    assert totals.count() == 50 and totals.count() == 50 and spark.read.parquet(f"{tmp_path}/merged").count() == 420
+    enriched = spark.read.option("header", True).csv(f"{tmp_path}/enriched_transactions")
+    assert enriched.count() == 500 and enriched.select("Price").distinct().count() == 7
+
+
 def test_train_save_score_monitor(spark, readings):
     root = scratch_path(spark)
     day = telemetry.daytime(readings, [*telemetry.FEATURES, telemetry.TARGET])

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 SINGLE_TASK_KEY = "spark.tidemark.singleTaskRows"
 SINGLE_TASK_DEFAULT = 100_000
 
+#: Session setting by which Spark deletes an action's shuffle files once it has ended.
+SHUFFLE_CLEANUP_KEY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _TABLES: list[str] = []
 
 
@@ -55,6 +60,24 @@ def drop_scratch(spark: SparkSession) -> None:
         folder.getFileSystem(conf).delete(folder, True)
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Within it tables that are written leave no shuffle files behind.
+
+    Otherwise those of every table written so far lie on disk until the driver happens to collect
+    its garbage. A table that is written has a plan of its own: no other reads its shuffles.
+    """
+    before = spark.conf.get(SHUFFLE_CLEANUP_KEY, None)
+    spark.conf.set(SHUFFLE_CLEANUP_KEY, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP_KEY)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP_KEY, before)
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Materialise ``df`` as a table in the checkpoint folder and read it back.
 

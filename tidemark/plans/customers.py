@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions import scalars as X
-from tidemark.functions.sizing import durable
+from tidemark.functions.sizing import durable, shuffles_dropped
 from tidemark.operators import aggregates as A, cleaning as P, joins as J, statistics as T
 from tidemark.operators.ordering import value_counts
 from tidemark.sources.tables import write_csv, write_parquet
@@ -110,15 +110,32 @@ def run(
     crop_cols: int = 1,
 ) -> dict[str, DataFrame]:
     """The whole flow. The merged table is written once, and so is the summary per customer, whose
-    shuffle takes nearly all of its rows; the reports read them back."""
+    shuffle takes nearly all of its rows; the reports read them back. Rows of the merged table are
+    written in order of their customers, whose cells repeat and so take little of the disk; the enriched transactions, text as large as all
+    else together, are written compressed."""
+    with shuffles_dropped(transactions.sparkSession):
+        return _run(system1, system2, stores, transactions, prices, out, order, crop_rows, crop_cols)
+
+
+def _run(
+    system1: DataFrame,
+    system2: DataFrame,
+    stores: DataFrame,
+    transactions: DataFrame,
+    prices: DataFrame,
+    out: str,
+    order: str,
+    crop_rows: int,
+    crop_cols: int,
+) -> dict[str, DataFrame]:
     spark = transactions.sparkSession
     spaced = next(c for c in system1.columns if c.strip() == order)
     first = transform(clean(system1, [spaced], crop_rows, crop_cols))
     second = transform(clean(system2, [order]))
     customers = J.stack_tables(first, second)
     enriched = enrich(transactions, stores, prices)
-    write_parquet(merge(customers, enriched), f"{out}/merged")
-    write_csv(enriched, f"{out}/enriched_transactions")
+    write_parquet(merge(customers, enriched).sortWithinPartitions(CUSTOMER), f"{out}/merged", compression="zstd")
+    write_csv(enriched, f"{out}/enriched_transactions", compression="gzip")
     merged = spark.read.parquet(f"{out}/merged")
     summary = durable(per_customer(merged))
     lines, medians = parallel_frame(summary)
