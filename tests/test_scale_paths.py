@@ -2,6 +2,7 @@
 
 import collections
 import datetime
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -291,6 +292,21 @@ def test_distances_at_the_limit_are_exact():
         assert (close == (np.square(x[:, None] - x).sum(2) <= eps * eps)).all()
 
 
+def test_pairs_are_compared_in_small_tiles():
+    """Blocks of points keep a flag for each pair, never distances; tiles end within blocks."""
+    draw = np.random.default_rng(6)
+    x, y = draw.normal(size=(1100, 20)), draw.normal(size=(1500, 20))
+    want = np.square(x[:, None] - y).sum(2) <= 30.0
+    tracemalloc.start()
+    got = np.vstack([close for _, close in K._close(x, y, 30.0**0.5)])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (got == want).all() and 0 < got.sum() < got.size
+    assert peak < 9e6  # 40e6 with a distance for each pair
+    odd = np.array([[np.nan, 0.0], [np.inf, 0.0], [0.0, 0.0]])
+    assert [close.tolist() for _, close in K._close(odd, np.zeros((1, 2)), 1.0)] == [[[False], [False], [True]]]
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 30) if i != 11] + [(50, 52), (52, 51)]
     got = dict(K.connected_components(spark.createDataFrame(edges, "a long, b long")).collect())
